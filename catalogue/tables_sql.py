@@ -88,7 +88,7 @@ CTES: dict[str, str] = {
     + ", ".join(f"({i}, '{n}', {lat}::DOUBLE, {lon}::DOUBLE)" for i, (n, lat, lon) in enumerate(DISTRICTS, 1))
     + ") d(district_number, district_name, latitude, longitude)",
     "hourly_weather": """
-        SELECT district_name, date_trunc('hour', ts) AS timestamp, round(avg(value), 2) AS temperature_2m,
+        SELECT district_name, date_trunc('hour', ts) AS timestamp, (sum(round(value * 100)::BIGINT)::BIGINT // count(*))::DOUBLE / 100 AS temperature_2m,
                round(max(value), 2) AS wind_speed_10m, count(*)::DOUBLE AS relative_humidity_2m, round(min(value), 2) AS precipitation,
                (max(event_id) % 100)::INTEGER AS weather_code, round(max(value) + 1000, 2) AS pressure_msl,
                min(event_id)::DOUBLE AS cloud_cover, max(event_id)::DOUBLE AS visibility,
@@ -173,7 +173,7 @@ CTES: dict[str, str] = {
         SELECT a.*, b.stop_id AS next_stop_id FROM session_latest a JOIN session_latest b
           ON a.trip_id = b.trip_id AND a.mode = b.mode AND a.session_id = b.session_id AND b.stop_sequence = a.stop_sequence + 1""",
     "pair_averages": """
-        SELECT count(*) AS cnt, avg(delay) AS avg_delay, stop_id, next_stop_id, hour(load_timestamp) AS delay_hour,
+        SELECT count(*) AS cnt, avg(delay) AS avg_delay, stop_id, next_stop_id, hour(load_timestamp)::INTEGER AS delay_hour,
                load_timestamp::DATE AS delay_date FROM session_pairs GROUP BY ALL""",
 }
 

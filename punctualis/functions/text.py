@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,8 +33,6 @@ def strip_diacritics(s: Column | str) -> Column:
 
 def strip_diacritics_nfkd(s: Column | str) -> Column:
     """Same for any script: full compatibility decomposition, in Arrow batches."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def decompose(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         import unicodedata

@@ -9,9 +9,12 @@ from punctualis.functions.geo import haversine_m
 
 MAX_LITERAL_CENTRES = 512
 TREE_DEPTH = 24
+LEAF_CENTRES = 64
 
 
-def nearest(points: DataFrame, centres: DataFrame, max_literal: int = MAX_LITERAL_CENTRES) -> DataFrame:
+def nearest(
+    points: DataFrame, centres: DataFrame, max_literal: int = MAX_LITERAL_CENTRES, leaf_centres: int = LEAF_CENTRES
+) -> DataFrame:
     """Add ``centre`` and ``distance_m`` of the closest centre to every row of ``points``.
 
     ``points``: lat, lon plus payload; ``centres``: centre (name), lat, lon. Ties go to the smaller name.
@@ -23,7 +26,7 @@ def nearest(points: DataFrame, centres: DataFrame, max_literal: int = MAX_LITERA
     head = centres.limit(max_literal + 1).collect()
     if len(head) <= max_literal:
         return _by_constant(points, head)
-    return _by_tree(points, centres)
+    return _by_tree(points, centres, leaf_centres)
 
 
 def _closest(found: Column, lat: Column, lon: Column) -> Column:
@@ -47,8 +50,8 @@ def _unit_vector(lat: Column, lon: Column) -> list[Column]:
     return [F.cos(a) * F.cos(b), F.cos(a) * F.sin(b), F.sin(a)]
 
 
-def _by_tree(points: DataFrame, centres: DataFrame) -> DataFrame:
-    leaves = _leaves(centres)
+def _by_tree(points: DataFrame, centres: DataFrame, leaf_centres: int) -> DataFrame:
+    leaves = _leaves(centres, leaf_centres)
     boxes = leaves.agg(F.collect_list(F.struct("leaf", "lo", "hi")).alias("_boxes"))
 
     # straight-line distance on the unit sphere grows with the distance along it
@@ -76,11 +79,11 @@ def _by_tree(points: DataFrame, centres: DataFrame) -> DataFrame:
     return points.join(best, ["lat", "lon"], "left").select(*points.columns, "centre", "distance_m")
 
 
-def _leaves(centres: DataFrame) -> DataFrame:
+def _leaves(centres: DataFrame, leaf_centres: int) -> DataFrame:
     """Quadtree leaves over the centres: id, bounding box of the unit vectors and member list.
 
-    A leaf is the largest square with at most n/256 (but 64 or more) centres, which bounds both the
-    member lists and the number of leaves.
+    A leaf is the largest square with at most ``max(leaf_centres, n/256)`` centres. A level has at
+    most 256 larger squares, so there are at most 4 * 256 leaves per level, whatever n is.
     """
     size = 1 << TREE_DEPTH
     cell = lambda share: F.least(F.floor(share * size), F.lit(size - 1)).cast("long")
@@ -90,14 +93,15 @@ def _leaves(centres: DataFrame) -> DataFrame:
     nodes = nodes.withColumn("_x", F.floor(x / shift)).withColumn("_y", F.floor(y / shift))
 
     counts = nodes.groupBy("_depth", "_x", "_y").agg(F.count(F.lit(1)).alias("_n"))
-    limit = counts.filter(F.col("_depth") == 0).agg(F.greatest(F.lit(64), F.ceil(F.max("_n") / 256)).alias("_limit"))
+    limit = counts.filter(F.col("_depth") == 0).agg(F.greatest(F.lit(leaf_centres), F.ceil(F.max("_n") / 256)).alias("_limit"))
     big = counts.join(F.broadcast(limit), F.lit(True))
     parents = big.filter(F.col("_n") > F.col("_limit")).select(
         (F.col("_depth") + 1).alias("_depth"), F.col("_x").alias("_px"), F.col("_y").alias("_py")
     )
     small = big.filter((F.col("_n") <= F.col("_limit")) | (F.col("_depth") == TREE_DEPTH))
     small = small.withColumn("_px", F.floor(F.col("_x") / 2)).withColumn("_py", F.floor(F.col("_y") / 2))
-    leaf_ids = small.join(parents, ["_depth", "_px", "_py"], "left_semi").select("_depth", "_x", "_y")
+    inner = small.join(parents, ["_depth", "_px", "_py"], "left_semi")
+    leaf_ids = inner.unionByName(small.filter(F.col("_depth") == 0)).select("_depth", "_x", "_y")
 
     v = _unit_vector(F.col("lat"), F.col("lon"))
     return (

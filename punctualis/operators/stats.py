@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -184,8 +185,6 @@ def kruskal_by(df: DataFrame, value: str, features: Sequence[str]) -> DataFrame:
 
 def chi_square_tail(x: Column, dof: Column) -> Column:
     """Upper tail of the chi-square distribution, in Arrow batches (a handful of rows per use)."""
-    import pandas as pd
-
     @F.pandas_udf("double")
     def tail(h: pd.Series, k: pd.Series) -> pd.Series:
         import math

@@ -10,17 +10,17 @@ from punctualis.operators.nearest import nearest
 from punctualis.schemas import HOURLY_FIELDS
 
 
-def assign_districts(stops: DataFrame, districts: DataFrame, max_literal: int = 512) -> DataFrame:
+def assign_districts(stops: DataFrame, districts: DataFrame, **search) -> DataFrame:
     """(stop_id, stop_name, district_name, distance_m): nearest district per stop.
 
     Over all rows of a stop the smallest distance wins; ties go to the district name, the mode and
-    the newest load.
+    the newest load. ``search`` goes to ``nearest``.
     """
     placed = stops.filter(F.col("stop_lat").isNotNull() & F.col("stop_lon").isNotNull()).select(
         "stop_id", "stop_name", "mode", "load_timestamp", F.col("stop_lat").alias("lat"), F.col("stop_lon").alias("lon")
     )
     centres = districts.select(F.col("district_name").alias("centre"), F.col("latitude").alias("lat"), F.col("longitude").alias("lon"))
-    found = nearest(placed, centres, max_literal)
+    found = nearest(placed, centres, **search)
     order = [F.col("distance_m"), F.col("centre"), F.col("mode"), F.col("load_timestamp").desc(), F.col("stop_name")]
     return latest_per_key(found, ["stop_id"], order).select("stop_id", "stop_name", F.col("centre").alias("district_name"), "distance_m")
 
