@@ -83,7 +83,9 @@ def write_snapshot(df: DataFrame, folder: str, prefix: str, stamp: str, fmt: str
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """CSV with a header; times keep their microseconds."""
+    form = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    df.write.mode("overwrite").options(header=True, timestampFormat=form, timestampNTZFormat=form).csv(path)
 
 
 # exports
