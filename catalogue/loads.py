@@ -242,7 +242,7 @@ add("src4_traffic_quarantine", lambda f: jf.traffic_records(traffic_files(f))[1]
 
 
 def encoded(f: Feed, kind: str):
-    """Feed messages built from the derived rows, one row per message, as landed files would hold them."""
+    """Feed messages built from the derived rows of a batch: one per mode and poll, as landed files hold them."""
     build = rt.message_factory()
     rows = f.trip_updates() if kind == "trip_update" else f.vehicle_positions()
 
@@ -252,9 +252,9 @@ def encoded(f: Feed, kind: str):
         feed_class = build()
         schema = pa.schema([("content", pa.binary()), ("mode", pa.string()), ("load_timestamp", pa.timestamp("us"))])
         for batch in batches:
-            out = []
+            polls = {}
             for r in batch.to_pylist():
-                feed = feed_class()
+                feed = polls.setdefault((r["mode"], r["load_timestamp"]), feed_class())
                 feed.header.gtfs_realtime_version = "2.0"
                 entity = feed.entity.add(id="e")
                 if kind == "trip_update":
@@ -270,7 +270,7 @@ def encoded(f: Feed, kind: str):
                     v.trip.trip_id, v.vehicle.id = r["trip_id"], r["id"]
                     v.position.latitude, v.position.longitude, v.position.bearing = r["bearing"], r["speed"], r["bearing"]
                     v.current_status, v.current_stop_sequence = r["current_status"], r["current_stop_sequence"]
-                out.append({"content": feed.SerializeToString(), "mode": r["mode"], "load_timestamp": r["load_timestamp"]})
+            out = [{"content": m.SerializeToString(), "mode": k[0], "load_timestamp": k[1]} for k, m in polls.items()]
             yield pa.RecordBatch.from_pylist(out, schema)
 
     return rows.mapInArrow(encode, "content binary, mode string, load_timestamp timestamp_ntz")

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SPLITS = 256
+SPLITS = 256  # a power of two
 
 
 def sessionize_resets(
@@ -65,7 +65,9 @@ def cumulative_counts(df: DataFrame, value: str, groups: Sequence[str] = (), wei
     points = [i / SPLITS for i in range(1, SPLITS)]
     cuts = counted.groupBy("_grp").agg(F.percentile_approx(value, points, 4 * SPLITS).alias("_cuts"))
     counted = counted.join(cuts, "_grp", "inner")
-    chunk = F.size(F.filter(F.array_distinct("_cuts"), lambda cut: cut < F.col(value)))
+    # binary search: how many cuts lie below the value
+    steps = F.array(*[F.lit(SPLITS >> i) for i in range(1, SPLITS.bit_length())])
+    chunk = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get("_cuts", at + step - 1) < F.col(value), at + step).otherwise(at))
     counted = counted.withColumn("_chunk", F.struct("_grp", chunk.alias("_no"))).drop("_cuts")
 
     sizes = counted.groupBy("_chunk", "_grp").agg(F.sum("cnt").alias("_size"))

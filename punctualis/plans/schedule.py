@@ -53,18 +53,18 @@ def build_trips_schedule(
 
     A stop visited twice by a trip keeps its first visit. Since every mode and date has one load
     version, that choice does not depend on the date and is made before the dates are added.
-    Load versions that no date uses are cut before the first shuffle.
+    Stop times of load versions that no date uses are cut before their first shuffle.
     """
     chosen = latest_calendar(calendar, stop_times, all_services)
     used = chosen.select(*VERSION).distinct()
-    days = trip_days(only_in(trips, used, VERSION), routes_scd2, chosen)
+    days = trip_days(trips, routes_scd2, chosen)
     visits = latest_per_key(
         only_in(stop_times, used, VERSION).select("trip_id", "stop_id", "stop_sequence", "arrival_time", "shape_dist_traveled", *VERSION),
         ["trip_id", "stop_id", *VERSION],
         [F.col("stop_sequence"), F.col("arrival_time")],
     )
     places = latest_per_key(
-        only_in(stops, used, VERSION).filter(F.col("stop_name").isNotNull()).select("stop_id", *VERSION, "stop_name", "stop_lat", "stop_lon"),
+        stops.filter(F.col("stop_name").isNotNull()).select("stop_id", *VERSION, "stop_name", "stop_lat", "stop_lon"),
         ["stop_id", *VERSION],
         [F.col("stop_name"), F.col("stop_lat"), F.col("stop_lon")],
     )

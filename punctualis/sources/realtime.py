@@ -92,23 +92,24 @@ def _decode(raw: DataFrame, ddl: str, rows_of, on_error: str) -> DataFrame:
         arrow = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "double": pa.float64()}
         schema = pa.schema([(n, arrow[kinds[n]]) for n in names] + [("mode", pa.string()), ("load_timestamp", pa.timestamp("us"))])
         feed_class = build()
+        rows = []
         for batch in batches:
-            for entry in batch.select(["content", "mode", "load_timestamp"]).to_pylist():
+            columns = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("content", "mode", "load_timestamp")]
+            for content, mode, moment in zip(*columns):
                 feed = feed_class()
                 try:
-                    feed.ParseFromString(entry["content"])
+                    feed.ParseFromString(content)
                 except Exception:
                     if on_error == "raise":
                         raise
                     continue
-                rows = []
                 for row in rows_of(feed):
-                    rows.append(row | {"mode": entry["mode"], "load_timestamp": entry["load_timestamp"]})
+                    rows.append(row | {"mode": mode, "load_timestamp": moment})
                     if len(rows) == 10_000:
                         yield pa.RecordBatch.from_pylist(rows, schema)
                         rows = []
-                if rows:
-                    yield pa.RecordBatch.from_pylist(rows, schema)
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, schema)
 
     shape = ", ".join(f"{n} {kinds[n]}" for n in names) + ", mode string, load_timestamp timestamp_ntz"
     ordered = [n for n, _ in fields_of(ddl)]
