@@ -8,7 +8,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 LOCAL_TZ = "Europe/Warsaw"
-DATE_TEXT = "yyyyMMdd"
 HALF_HOUR_US = 1_800_000_000
 
 
@@ -46,11 +45,15 @@ def shift_date(d: Column | str, t: Column | str) -> Column:
 
 
 def date_text(d: Column | str) -> Column:
-    return F.date_format(_col(d), DATE_TEXT)
+    """``yyyyMMdd`` text; casts are much cheaper than a pattern formatter."""
+    return F.replace(_col(d).cast("string"), F.lit("-"), F.lit(""))
 
 
 def parse_date(text: Column | str) -> Column:
-    return F.to_date(_col(text), DATE_TEXT)
+    """Date of a ``yyyyMMdd`` text, NULL for anything else."""
+    part = lambda start, n: F.substring(_col(text), start, n)
+    dashed = F.concat_ws("-", part(1, 4), part(5, 2), part(7, 2)).try_cast("date")
+    return F.when(F.length(_col(text)) == 8, dashed)
 
 
 def planned_timestamp(d: Column | str, t: Column | str) -> Column:

@@ -18,7 +18,7 @@ def on_vector(positions: DataFrame, vectors: DataFrame, local_date: bool = False
     """
     moment = F.convert_timezone(F.lit("UTC"), F.lit(LOCAL_TZ), F.col("load_timestamp")) if local_date else F.col("load_timestamp")
     moving = positions.filter(F.col("current_status").isin(*MOVING)).withColumns(
-        {"event_date": date_text(moment), "end_stop_sequence": F.col("current_stop_sequence")}
+        {"event_date": date_text(F.to_date(moment)), "end_stop_sequence": F.col("current_stop_sequence")}
     )
     ends = vectors.select("trip_id", "mode", "event_date", "end_stop_sequence", "vector_unique_id")
     return moving.join(ends, ["trip_id", "mode", "event_date", "end_stop_sequence"], "inner")

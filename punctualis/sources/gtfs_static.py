@@ -55,41 +55,41 @@ def read_gtfs_static(spark: SparkSession, feeds: dict[str, str], load_timestamp:
 def read_gtfs_archives(spark: SparkSession, archives: dict[str, str], load_timestamp: str) -> dict[str, DataFrame]:
     """Same tables from ``{mode: zip path or glob}``.
 
-    An archive is one task (a zip has one directory at its end); its members are streamed row by row
-    as JSON text and typed by Spark.
+    An archive is one task (a zip has one directory at its end). Each table reads only its own
+    member, streamed row by row as JSON text and typed by Spark.
     """
-    tables = list(GTFS_STATIC)
 
-    def unpack(batches: Iterator) -> Iterator:
-        import csv
-        import io
-        import json
-        import zipfile
+    def unpacker(table: str):
+        def unpack(batches: Iterator) -> Iterator:
+            import csv
+            import io
+            import json
+            import zipfile
 
-        import pandas as pd
+            import pandas as pd
 
-        for batch in batches:
-            for content in batch["content"]:
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+            for batch in batches:
+                for content in batch["content"]:
+                    archive = zipfile.ZipFile(io.BytesIO(content))
                     for member in archive.namelist():
-                        table = member.rsplit("/", 1)[-1].removesuffix(".txt")
-                        if table not in tables:
+                        if member.rsplit("/", 1)[-1] != f"{table}.txt":
                             continue
-                        with archive.open(member) as raw:
-                            rows = []
-                            for row in csv.DictReader(io.TextIOWrapper(raw, "utf-8-sig", newline="")):
-                                clean = {k.strip().lower(): v for k, v in row.items() if k and v not in (None, "")}
-                                rows.append((table, json.dumps(clean)))
-                                if len(rows) == 10_000:
-                                    yield pd.DataFrame(rows, columns=["table", "row"])
-                                    rows = []
-                            yield pd.DataFrame(rows, columns=["table", "row"])
-
-    out: dict[str, dict[str, DataFrame]] = {}
-    for mode, path in archives.items():
-        lines = spark.read.format("binaryFile").load(path).select("content").mapInPandas(unpack, "table string, row string")
-        for table, ddl in GTFS_STATIC.items():
-            text = ", ".join(f"{name} string" for name, _ in fields_of(ddl))
-            part = lines.filter(F.col("table") == table).select(F.from_json("row", text).alias("r")).select("r.*")
-            out.setdefault(table, {})[mode] = typed(part, ddl)
-    return {table: union_feeds(found, load_timestamp) for table, found in out.items()}
+                        rows = []
+                        for row in csv.DictReader(io.TextIOWrapper(archive.open(member), "utf-8-sig", newline="")):
+                            rows.append(json.dumps({k.strip().lower(): v for k, v in row.items() if k and v not in (None, "")}))
+                            if len(rows) == 10_000:
+                                yield pd.DataFrame({"row": rows})
+                                rows = []
+                        yield pd.DataFrame({"row": rows})
+
+        return unpack
+
+    out = {}
+    for table, ddl in GTFS_STATIC.items():
+        text = ", ".join(f"{name} string" for name, _ in fields_of(ddl))
+        found = {}
+        for mode, path in archives.items():
+            lines = spark.read.format("binaryFile").load(path).select("content").mapInPandas(unpacker(table), "row string")
+            found[mode] = typed(lines.select(F.from_json("row", text).alias("r")).select("r.*"), ddl)
+        out[table] = union_feeds(found, load_timestamp)
+    return out

@@ -48,11 +48,16 @@ def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
 
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Append; an empty batch still creates the table with its schema."""
-    df.write.mode("append").partitionBy(*partition_by).parquet(path)
+    _balanced(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    _balanced(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+
+
+def _balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Few files per table partition; AQE splits a partition value that holds most of the rows."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
 
 
 def replace_table(df: DataFrame, path: str) -> None:
@@ -130,9 +135,7 @@ def export_incremental(df: DataFrame, path: str, since: str | None, ts: str = "l
 
 
 def _by_day(df: DataFrame, path: str) -> None:
-    # a round-robin of 32 writers per day keeps one heavy day from landing in one task
-    spread = df.withColumn("_part", F.pmod(F.xxhash64(*[c for c in df.columns if c != "d"]), F.lit(32)))
-    spread.repartition("d", "_part").drop("_part").write.mode("append").partitionBy("d").parquet(path)
+    append_table(df, path, ["d"])
 
 
 def export_strategy(size_bytes: int, has_timestamp: bool, since: str | None, fresh: bool = True) -> str:
