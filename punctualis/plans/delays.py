@@ -13,22 +13,30 @@ from punctualis.operators.joins import match_midnight
 RUN = ["trip_id", "mode", "event_date"]
 
 
-def latest_updates(updates: DataFrame, by_sequence: bool = False) -> DataFrame:
+def latest_updates(updates: DataFrame, by_sequence: bool = False, days: tuple[str, str] | None = None) -> DataFrame:
     """Newest prediction per trip, mode, stop and local date, with its local time.
 
-    ``by_sequence`` keeps repeated visits of a stop apart.
+    ``by_sequence`` keeps repeated visits of a stop apart. ``days`` (first and last service date,
+    ``yyyyMMdd``) cuts the log before the shuffle to the dates that can match, one day around them.
     """
     actual = epoch_to_local(F.coalesce("arrival", "departure"))
     local = updates.select("trip_id", "mode", "stop_id", "stop_sequence", "load_timestamp", actual.alias("actual_arrival"))
     local = local.withColumn("actual_day", F.to_date("actual_arrival"))
+    if days is not None:
+        first, last = (parse_date(F.lit(d)) for d in days)
+        local = local.filter(F.col("actual_day").between(F.date_sub(first, 1), F.date_add(last, 1)))
     keys = ["trip_id", "mode", "stop_id", "actual_day"] + (["stop_sequence"] if by_sequence else [])
     return latest_per_key(
         local, keys, [F.col("load_timestamp").desc(), F.col("stop_sequence").desc(), F.col("actual_arrival").desc()]
     )
 
 
-def _matched(updates: DataFrame, schedule: DataFrame, strict_text_hour: bool = False) -> DataFrame:
-    actual = latest_updates(updates).select(
+def _matched(
+    updates: DataFrame, schedule: DataFrame, strict_text_hour: bool = False, days: tuple[str, str] | None = None
+) -> DataFrame:
+    if days is not None:
+        schedule = schedule.filter(F.col("event_date").between(*days))
+    actual = latest_updates(updates, days=days).select(
         "trip_id", "mode", "stop_id", "actual_day", F.hour("actual_arrival").alias("actual_hour"), "actual_arrival",
         F.col("load_timestamp").alias("update_timestamp"),
     )
@@ -40,13 +48,17 @@ def _matched(updates: DataFrame, schedule: DataFrame, strict_text_hour: bool = F
     return match_midnight(actual, planned, *tests).withColumn("planned_arrival", planned_timestamp("planned_day", "arrival_time"))
 
 
-def build_delays(updates: DataFrame, schedule: DataFrame) -> DataFrame:
-    """Delay in whole minutes per planned stop that was served; early arrivals count as 0."""
+def build_delays(updates: DataFrame, schedule: DataFrame, days: tuple[str, str] | None = None) -> DataFrame:
+    """Delay in whole minutes per planned stop that was served; early arrivals count as 0.
+
+    Service dates are independent of each other, so ``days`` builds exactly their part of the mart
+    (to be stored with ``overwrite_partitions``).
+    """
     newest = [
         F.col("load_timestamp").desc(), F.col("update_timestamp").desc(), F.col("actual_arrival").desc(), F.col("stop_sequence").desc()
     ]
     # the key repeats the join key, so the join's partitioning is reused
-    matched = latest_per_key(_matched(updates, schedule), ["trip_id", "mode", "stop_id", "planned_day"], newest)
+    matched = latest_per_key(_matched(updates, schedule, days=days), ["trip_id", "mode", "stop_id", "planned_day"], newest)
     return matched.select(
         "trip_id", "stop_id", "stop_name", "trip_headsign", "stop_sequence", "actual_arrival", "route_short_name", "planned_arrival",
         "mode", "event_date", F.col("update_timestamp").alias("load_timestamp"), F.col("load_timestamp").alias("schedule_timestamp"),
@@ -54,14 +66,16 @@ def build_delays(updates: DataFrame, schedule: DataFrame) -> DataFrame:
     )
 
 
-def build_delay_vectors(updates: DataFrame, schedule: DataFrame, strict_text_hour: bool = False) -> DataFrame:
+def build_delay_vectors(
+    updates: DataFrame, schedule: DataFrame, strict_text_hour: bool = False, days: tuple[str, str] | None = None
+) -> DataFrame:
     """Pairs of consecutive served stops of a run with planned and actual times.
 
     A run (trip, mode, date) has at most one row per stop and candidate update, which bounds the
     window. ``strict_text_hour`` compares the planned hour as the text ``00``, so that night trips
-    (whose normalized hour is ``0``) are not matched across midnight.
+    (whose normalized hour is ``0``) are not matched across midnight. ``days`` as in ``build_delays``.
     """
-    served = _matched(updates, schedule, strict_text_hour)
+    served = _matched(updates, schedule, strict_text_hour, days)
     w = Window.partitionBy(*RUN).orderBy("stop_sequence", "planned_arrival", "actual_arrival", "stop_id")
     following = {
         "direction_stop_id": "stop_id", "end_stop_sequence": "stop_sequence", "next_planned": "planned_arrival", "next_actual": "actual_arrival"

@@ -55,6 +55,12 @@ def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = ())
     _balanced(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Replace only the partitions that occur in ``df``."""
+    writer = _balanced(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partition_by).parquet(path)
+
+
 def _balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Few files per table partition; AQE splits a partition value that holds most of the rows."""
     return df.hint("rebalance", *partition_by) if partition_by else df

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from catalogue.adapter import Feed
 from punctualis.plans import calendar, delays, features, report, schedule, vehicles
+from punctualis.sources import sinks
 
 V1 = "timestamp_ntz'2024-01-01'"
 
@@ -136,3 +137,18 @@ def test_reference_points_refuse_to_grow(spark):
     with pytest.raises(ValueError):
         features.reference_points(many)
     assert [n for n, _, _ in features.reference_points(Feed(spark, "").districts())] == ["Bienczyce", "Nowa_Huta", "Pradnik_Biały", "Stare_Miasto", "Swoszowice"]
+
+
+def test_daily_builds_add_up_to_the_full_mart(spark, sf_dir, tmp_path):
+    feed, path = Feed(spark, sf_dir), str(tmp_path / "delays")
+    full = feed.delay_mart()
+    found = sorted(r["event_date"] for r in full.select("event_date").distinct().collect())
+    assert len(found) > 1
+    for day in [*found, found[0]]:
+        sinks.overwrite_partitions(delays.build_delays(feed.trip_updates(), feed.schedule(), (day, day)), path, ["event_date"])
+    stored = spark.read.parquet(path).withColumn("event_date", F.col("event_date").cast("string")).select(full.columns)
+    assert stored.count() == full.count() and stored.exceptAll(full).count() == 0
+    vectors = feed.vectors()
+    part = delays.build_delay_vectors(feed.trip_updates(), feed.schedule(), days=(found[0], found[0]))
+    assert part.exceptAll(vectors.filter(F.col("event_date") == found[0])).count() == 0
+    assert part.count() == vectors.filter(F.col("event_date") == found[0]).count()
