@@ -30,6 +30,8 @@ def match_midnight(
     A 23h actual goes with a 0h plan of the next day and a 0h actual with a 23h plan of the day
     before; every other pair must share the day. Only actuals of these two hours get a second
     candidate day, so the join stays an equi join on the full key.
+    Both sides grow with the data and pass through ``explode``, which hides their size from the
+    static estimate; the merge hint keeps either of them from being broadcast on a wrong guess.
     ``planned_midnight`` and ``planned_last_hour`` override the tests for 0h and 23h plans.
     """
     midnight = F.col("planned_hour") == 0 if planned_midnight is None else planned_midnight
@@ -42,7 +44,7 @@ def match_midnight(
     )
     candidates = updates.filter(day.isNotNull()).withColumn("planned_day", F.explode(days))
     crossing = ((hour == 23) & midnight) | ((hour == 0) & last_hour)
-    return candidates.join(schedule, ["trip_id", "mode", "stop_id", "planned_day"], "inner").filter(
+    return candidates.join(schedule.hint("merge"), ["trip_id", "mode", "stop_id", "planned_day"], "inner").filter(
         (day == F.col("planned_day")) != crossing
     )
 
