@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from punctualis.llm import langid, quality
+from punctualis.llm import chat, decontaminate, langid, packing, quality, warc
 
-MODULES = [langid, quality]
+MODULES = [warc, packing, decontaminate, langid, chat, quality]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 SQL = {name: text for module in MODULES for name, text in module.SQL.items()}

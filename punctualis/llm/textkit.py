@@ -64,10 +64,10 @@ def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES):
         first = min(last, count)
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SEPARATOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends (in bytes) of all words, and the word offsets between the texts."""
     n = len(data)
-    blank = SEPARATOR[data]
+    blank = separator[data]
     before, after = np.ones(n, bool), np.ones(n, bool)
     before[1:], after[:-1] = blank[:-1], blank[1:]
     edges = offsets[:-1][offsets[:-1] < n]
