@@ -16,7 +16,7 @@ SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_BYTE_VALUES = np.random.Generator(np.random.PCG64(7)).integers(1, 1 << 63, 256, dtype=np.uint64)
+BYTE_VALUES = np.random.Generator(np.random.PCG64(7)).integers(1, 1 << 63, 256, dtype=np.uint64)
 _powers = np.ones(1, np.uint64)
 _inverse_powers = np.ones(1, np.uint64)
 
@@ -82,7 +82,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     """Hash of every byte span, by differences of one running polynomial sum."""
     power, inverse = powers(len(data) + 1)
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE_VALUES[data] * power[:-1], out=total[1:])
+    np.cumsum(BYTE_VALUES[data] * power[:-1], out=total[1:])
     return mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64) * _ODD)
 
 
