@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from punctualis.llm import chat, decontaminate, langid, minhash, packing, quality, warc
+from punctualis.llm import chat, decontaminate, fmindex, langid, minhash, packing, quality, suffixarrays, warc
 
-MODULES = [warc, packing, decontaminate, langid, chat, minhash, quality]
+MODULES = [warc, packing, decontaminate, langid, chat, minhash, fmindex, quality, suffixarrays]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 SQL = {name: text for module in MODULES for name, text in module.SQL.items()}
