@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from punctualis.llm import textkit as tk
 from punctualis.llm.components import components
 from punctualis.llm.fmindex import keyed
-from punctualis.llm.shared import stored, table
+from punctualis.llm.shared import fresh, stored, table
 
 PERCENT, LEAST = 80, 5
 BUCKETS = 1 << 17
@@ -306,15 +306,17 @@ def ranked(members: DataFrame) -> DataFrame:
 
 
 def remove_lines(docs: DataFrame, percent: int = PERCENT, least: int = LEAST) -> DataFrame:
-    """The documents, all columns, without the removed lines; texts left without any compared or other line go."""
-    gone = judged_lines(docs, percent, least).select(F.col("doc_id").alias("g_id"), F.col("h").alias("g_h"), F.transform(F.filter("lines", lambda x: x["removed"]), lambda x: x["line"]).alias("gone"))
-    gone = gone.where(F.size("gone") > 0).dropDuplicates(["g_id", "g_h"])
-    keyed_docs = docs.withColumn("__h", F.xxhash64(F.coalesce("text", F.lit(""))))
-    joined = keyed_docs.join(gone, F.col("doc_id").cast("bigint").eqNullSafe(F.col("g_id")) & (F.col("__h") == F.col("g_h")), "left")
+    """The documents, all columns, without the removed lines; texts left blank by that go."""
+    key, gone_id, gone_key, gone = (fresh(docs, name) for name in ("key", "gone_id", "gone_key", "gone"))
+    lines = F.transform(F.filter("lines", lambda x: x["removed"]), lambda x: x["line"])
+    found = judged_lines(docs, percent, least).select(F.col("doc_id").alias(gone_id), F.col("h").alias(gone_key), lines.alias(gone))
+    found = found.where(F.size(gone) > 0).dropDuplicates([gone_id, gone_key])
+    rows = docs.withColumn(key, F.xxhash64(F.coalesce("text", F.lit(""))))
+    joined = rows.join(found, F.col("doc_id").cast("bigint").eqNullSafe(F.col(gone_id)) & (F.col(key) == F.col(gone_key)), "left")
     numbered = F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("i"), x.alias("x")))
-    kept = F.array_join(F.transform(F.filter(numbered, lambda p: ~F.array_contains("gone", p["i"])), lambda p: p["x"]), "\n")
-    joined = joined.withColumn("text", F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept))
-    return joined.where(F.col("gone").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]")).select(docs.columns)
+    kept = F.array_join(F.transform(F.filter(numbered, lambda p: ~F.array_contains(gone, p["i"])), lambda p: p["x"]), "\n")
+    joined = joined.withColumn("text", F.when(F.col(gone).isNull(), F.col("text")).otherwise(kept))
+    return joined.where(F.col(gone).isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]")).select(docs.columns)
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from punctualis.llm import textkit as tk
 from punctualis.llm.components import components
-from punctualis.llm.shared import stored, table
+from punctualis.llm.shared import fresh, stored, table
 
 BANDS, ROWS = 32, 4
 PLACES = BANDS * ROWS
@@ -174,9 +174,9 @@ def _round(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFram
 
 def near_dedup(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group, all columns: the one with the smallest id."""
-    kept = group(docs, k, percent)
-    gone = kept.where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("bigint") == F.col("__gone"), "left_anti")
+    name = fresh(docs, "gone")
+    gone = group(docs, k, percent).where("NOT kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, F.col("doc_id").cast("bigint") == F.col(name), "left_anti")
 
 
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

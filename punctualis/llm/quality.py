@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctualis.llm import textkit as tk
-from punctualis.llm.shared import table
+from punctualis.llm.shared import fresh, table
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 REPEAT_WINDOW = 8
@@ -76,16 +76,17 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents without their text, with the measures of each."""
     kept = [f for f in docs.schema.fields if f.name != text and f.name not in MEASURES]
     names = [f.name for f in kept]
+    body = fresh(docs, "body")
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), *(f"{m} bigint" for m in MEASURES)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = tk.flat(batch.column("__text"))
+            data, offsets = tk.flat(batch.column(body))
             parts = [_measure(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in tk.chunks(offsets)]
             columns = [np.concatenate(m) if m else np.zeros(0, np.int64) for m in zip(*parts)] or [np.zeros(0, np.int64)] * len(MEASURES)
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), *(pa.array(c, pa.int64()) for c in columns)], [*names, *MEASURES])
 
-    return docs.select(*names, F.col(text).alias("__text")).mapInArrow(run, schema)
+    return docs.select(*names, F.col(text).alias(body)).mapInArrow(run, schema)
 
 
 def base_failed() -> Column:
@@ -129,9 +130,10 @@ def host_verdicts(measured: DataFrame, host: Column, rules: dict[str, tuple[Colu
 
 def judge(docs: DataFrame, text: str = "text", host: str = "source", rules: dict[str, tuple[Column, float]] | None = None) -> DataFrame:
     """Measures, ``base_failed`` and ``kept`` of every document; hosts of any size are joined by a splittable merge join."""
-    measured = measure(docs.drop("base_failed", "kept", "host_ok", "__host"), text)
-    hosts = host_verdicts(measured, F.col(host), rules).select(F.col("host").alias("__host"), "host_ok")
-    joined = measured.join(hosts, F.col(host).eqNullSafe(F.col("__host")), "left").drop("__host")
+    measured = measure(docs.drop("base_failed", "kept", "host_ok"), text)
+    name = fresh(measured, "host")
+    hosts = host_verdicts(measured, F.col(host), rules).select(F.col("host").alias(name), "host_ok")
+    joined = measured.join(hosts, F.col(host).eqNullSafe(F.col(name)), "left").drop(name)
     return joined.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & F.col("host_ok"))
 
 
