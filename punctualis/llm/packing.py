@@ -5,8 +5,8 @@ one end mark per text). Texts longer than the longest sequence are cut into piec
 dealt by hash to groups of about ``GROUP`` pieces, as many groups as the data need, and each group is packed by itself:
 longest piece first, into the open bin with the least room that still fits. Where none fits, the bin size is
 opened that costs least per token it can expect to hold (its own piece and what is left of the group). This is
-tried with every permitted length as the largest, the plan of least total cost is taken, and each bin is at last cut
-down to the shortest permitted length that holds its contents.
+tried with every run of permitted lengths, the plan of least total cost is taken, and each bin is at last cut down to
+the shortest permitted length that holds its contents.
 
 Defined results: NULL and empty texts are one token (the end mark); repeated rows are packed as often as they occur;
 ties are ordered by id and piece; a NULL id is packed like any other; an empty table gives an empty result; further
@@ -66,7 +66,8 @@ def pack_group(pieces: pd.DataFrame, lengths: Sequence[int] = LENGTHS, overhead:
     pieces = pieces.sort_values(["n_tokens", "doc_id", "piece"], ascending=[False, True, True], kind="stable")
     sizes = pieces["n_tokens"].tolist()
     shrunk = lambda n: next(x for x in lengths if x >= n)
-    plans = [_place(sizes, lengths[: i + 1], overhead) for i, top in enumerate(lengths) if not sizes or top >= sizes[0]]
+    choices = [lengths[i:j] for j in range(1, len(lengths) + 1) for i in range(j) if not sizes or lengths[j - 1] >= sizes[0]]
+    plans = [_place(sizes, choice, overhead) for choice in choices]
     places, used = min(plans, key=lambda plan: sum(shrunk(n) + overhead for n in plan[1]))
     out = pieces.assign(bin=places)
     out["bin_length"] = [shrunk(used[b]) for b in places]

@@ -64,8 +64,9 @@ class Family:
 _SPANS = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("first", pa.int32()), ("n", pa.int32())])
 
 
-def match_shard(rows: pa.Table, length: int = KIND.length, batch: int = BATCH) -> pa.Table:
+def match_shard(rows: pa.Table, length: int = KIND.length, batch: int | None = None) -> pa.Table:
     """Runs of windows that start earlier, of the regions of one shard; -1 windows where only the copies counted in a weight do."""
+    batch = batch or BATCH
     rows = rows.sort_by([("doc_id", "ascending"), ("first", "ascending"), ("h", "ascending")])
     content = rows.column("content").combine_chunks()
     doc, first, n = (rows.column(c).to_numpy() for c in ("doc_id", "first", "n"))
