@@ -125,15 +125,15 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def training_sample(labelled: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """At most ``sample`` texts of each language, those with the smallest content hash; texts decide, not ids.
 
-    Only rows whose hash lies under a bound computed from the language's row count go into the ranking, so the
-    ranking never handles more than a few times ``sample`` rows of a language.
+    Only rows whose hash lies under a bound computed from the language's row count go on to the ranking, so the
+    shuffle holds a few times ``sample`` texts per language. The counts, one per language, go through the driver.
     """
     rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text", F.xxhash64("text").alias("h"))
-    span = float(1 << 64)
-    bound = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).select("lang", (F.least(F.lit(1.0), 4.0 * sample / F.col("n")) * span - span / 2).alias("below"))
-    near = rows.join(bound, "lang").where(F.col("h").cast("double") <= F.col("below"))
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    bounds = {lang: int(min(1.0, 4.0 * sample / n) * (1 << 64)) - (1 << 63) - 1 for lang, n in counts.items()}
+    bound = F.element_at(F.create_map(*(F.lit(x) for pair in bounds.items() for x in pair)), F.col("lang")) if bounds else F.lit(0)
     rank = F.row_number().over(W.Window.partitionBy("lang").orderBy("h", "text"))
-    return near.withColumn("__rank", rank).where(F.col("__rank") <= sample).select("lang", "text")
+    return rows.where(F.col("h") <= bound).withColumn("__rank", rank).where(F.col("__rank") <= sample).select("lang", "text")
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE, penalty: float = PENALTY) -> Model:
