@@ -5,8 +5,8 @@
    counts over all lines (a fixed size, so it may be broadcast); any fixed order keeps the join exact.
 3. Lines that reach similarity t share a word among the first n - ceil(t n) + 1 of both (prefix filter). The prefix words
    are dealt to shards by word; in a shard, pairs must pass the length and the positional filter and a bitmap filter
-   (the words' 64-bit masks differ in no more bits than the sets may differ in words). Each word group hands on
-   only a spanning forest of what passes, never its pairs.
+   (the words' 256-bit masks differ in no more bits than the sets may differ in words). Each shard hands on only
+   spanning links of what passes, never its pairs.
 4. Components of the forests are families; no similar pair lies across two. The full word sets of each family meet
    in blocks of at most ``BLOCK`` lines, where all links are verified and counted by Jaccard similarity.
 5. A line goes if a line before it (smaller id, or same text and further up) is in its class or linked to its class.
@@ -19,6 +19,7 @@ count as one and stay; an empty table gives an empty result; further columns sta
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -123,7 +124,29 @@ def bucket_counts(docs: DataFrame, least: int) -> np.ndarray:
     return counts
 
 
-_RECORD = np.dtype([("token", "<u4"), ("node", "<i8"), ("bits", "<u8"), ("size", "<u4"), ("place", "<u4")])
+MASK_WORDS = 4
+_RECORD = np.dtype([("token", "<u4"), ("node", "<i8"), ("bits", "<u8", MASK_WORDS), ("size", "<u4"), ("place", "<u4")])
+
+
+def masks(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """(sets x MASK_WORDS) bit masks: each word of a set has one of 256 bits."""
+    word, bit = hashes >> np.uint64(62), np.uint64(1) << (hashes >> np.uint64(56) & np.uint64(63))
+    return np.stack([np.bitwise_or.reduceat(np.where(word == w, bit, 0), offsets[:-1]) for w in range(MASK_WORDS)], axis=1)
+
+
+def pack(records: np.ndarray) -> bytes:
+    """Records column by column, deflated: the masks of short lines are nearly empty."""
+    return zlib.compress(b"".join(records[name].tobytes() for name in _RECORD.names), 1)
+
+
+def unpack(blob: bytes) -> np.ndarray:
+    data = zlib.decompress(blob)
+    records, at = np.empty(len(data) // _RECORD.itemsize, _RECORD), 0
+    for name in _RECORD.names:
+        column = records[name]
+        column[...] = np.frombuffer(data, column.dtype, column.size, at).reshape(column.shape)
+        at += column.nbytes
+    return records
 
 
 def prefix_records(docs: DataFrame, counts: np.ndarray, shards: int, percent: int, least: int) -> DataFrame:
@@ -139,7 +162,7 @@ def prefix_records(docs: DataFrame, counts: np.ndarray, shards: int, percent: in
                 if len(sets) < 2:
                     continue
                 _, node = digests(hashes, sets)
-                bits = np.bitwise_or.reduceat(np.uint64(1) << (hashes >> np.uint64(58)), sets[:-1])
+                bits = masks(hashes, sets)
                 fresh = np.zeros(len(node), bool)
                 fresh[np.unique(node, return_index=True)[1]] = True
                 fresh &= ~np.isin(node, seen)
@@ -155,7 +178,7 @@ def prefix_records(docs: DataFrame, counts: np.ndarray, shards: int, percent: in
                 shard = records["token"] % np.uint32(shards)
                 order = np.argsort(shard, kind="stable")
                 numbers, firsts = np.unique(shard[order], return_index=True)
-                blobs = [x.tobytes() for x in np.split(records[order], firsts[1:])]
+                blobs = [pack(x) for x in np.split(records[order], firsts[1:])]
                 yield pa.RecordBatch.from_arrays([_ints(numbers), pa.array(blobs, pa.binary())], ["shard", "records"])
 
     return docs.select("text").mapInArrow(run, "shard int, records binary")
@@ -167,7 +190,7 @@ def _passes(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     pa_, pb = a["place"].astype(np.int64), b["place"].astype(np.int64)
     need = -(-percent * (sa + sb) // (100 + percent))
     most = np.minimum(pa_, pb) + 1 + np.minimum(sa - pa_ - 1, sb - pb - 1)
-    apart = np.bitwise_count(a["bits"] ^ b["bits"])
+    apart = np.bitwise_count(a["bits"] ^ b["bits"]).sum(axis=1, dtype=np.int64)
     return (100 * np.minimum(sa, sb) >= percent * np.maximum(sa, sb)) & (most >= need) & (apart <= sa + sb - 2 * need)
 
 
@@ -188,7 +211,7 @@ def _forest(records: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def shard_links(blobs: pa.Table, percent: int) -> pa.Table:
-    records = np.frombuffer(b"".join(blobs.column("records").to_pylist()), _RECORD)
+    records = np.concatenate([unpack(blob) for blob in blobs.column("records").to_pylist()])
     records = records[np.lexsort((records["node"], records["token"]))]
     same = (records["token"][1:] == records["token"][:-1]) & (records["node"][1:] == records["node"][:-1])
     records = records[np.r_[True, ~same]] if len(records) else records
@@ -196,7 +219,7 @@ def shard_links(blobs: pa.Table, percent: int) -> pa.Table:
     sizes, firsts = np.diff(edges), edges[:-1]
     left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     small = np.flatnonzero((sizes > 1) & (sizes <= DENSE_GROUP))
-    for part in np.array_split(small, max(1, int((sizes[small] ** 2).sum()) // 1_000_000)):
+    for part in np.array_split(small, max(1, int((sizes[small] ** 2).sum()) // 500_000)):
         member, place = tk.ragged(sizes[part])  # each member meets those before it
         other, step = tk.ragged(place)
         begin = firsts[part][member]
@@ -209,19 +232,39 @@ def shard_links(blobs: pa.Table, percent: int) -> pa.Table:
         left.append(a + edges[group])
         right.append(b + edges[group])
     a, b = records["node"][np.concatenate(left)], records["node"][np.concatenate(right)]
-    pairs = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)], axis=1), axis=0)
-    return pa.Table.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+    return pa.Table.from_arrays([pa.array(x) for x in spanning_links(a, b)], ["a", "b"])
+
+
+def spanning_links(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """At most one link per node that connects the same nodes as the given links: to the least node it hangs together with."""
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = ends[: len(a)], ends[len(a) :]
+    label = np.arange(len(nodes))
+    while True:
+        low = np.minimum(label[x], label[y])
+        new = label.copy()
+        for at in (x, y, label[x], label[y]):
+            np.minimum.at(new, at, low)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    apart = label != np.arange(len(nodes))
+    return nodes[apart], nodes[label[apart]]
 
 
 def class_texts(docs: DataFrame, members: DataFrame) -> DataFrame:
     """The line that stands for each class of ``members`` (hi, lo, rep, ...), with all their columns."""
     columns = [c for c in members.columns if c != "rep"]
     picks = members.select(F.col("rep.doc_id").alias("m_id"), F.col("rep.h").alias("m_h"), F.struct(F.col("rep.line").alias("line"), *columns).alias("pick"))
-    picks = picks.groupBy("m_id", "m_h").agg(F.collect_list("pick").alias("picks"))
+    picks = picks.groupBy("m_id", "m_h").agg(F.array_sort(F.collect_list("pick")).alias("picks"))
     joined = docs.join(picks, F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("h") == F.col("m_h")))
-    lines = joined.select(F.split("text", "\n").alias("all"), F.explode("picks").alias("pick"))
+    wanted = F.transform("picks", lambda p: p["line"])
+    numbered = F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("i"), x.alias("content")))
+    lines = F.filter(numbered, lambda p: F.array_contains(wanted, p["i"]))
+    cut = joined.select(F.inline(F.arrays_zip("picks", lines.alias("lines"))))
     # Rows that repeat each other give the same line twice; a class counts once.
-    return lines.dropDuplicates(["pick"]).select(F.get("all", F.col("pick.line")).alias("content"), *(F.col(f"pick.{c}").alias(c) for c in columns))
+    return cut.select("lines.content", *(F.col(f"picks.{c}").alias(c) for c in columns)).dropDuplicates(["hi", "lo"])
 
 
 _COUNTED = "hi bigint, lo bigint, links bigint, earlier boolean"
