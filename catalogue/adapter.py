@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctualis.functions.text import roman_in_parens
+from punctualis.operators.joins import with_scalar
 from punctualis.schemas import DISTRICTS
 from punctualis.session import tune
 
@@ -34,8 +35,6 @@ class Feed:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = tune(spark)
-        # the driver tables are single small files; keep all cores busy after the first shuffle
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         self.dir = sf_dir
 
     def raw(self, name: str) -> DataFrame:
@@ -65,13 +64,14 @@ class Feed:
         versions = F.when(k % 2 == 0, F.array(version("", start, turn, False), version("n", turn, none, True))).otherwise(
             F.array(version("", start, none, True))
         )
-        routes = self.raw("part").filter(k < 60).select(_tag("R", k).alias("route_id"), _modes(), versions.alias("v"))
+        routes = self.raw("part").select(_tag("R", k).alias("route_id"), _modes(), versions.alias("v"))
         return routes.select("route_id", "mode", F.inline("v"))
 
     def trips(self) -> DataFrame:
         k = F.col("o_orderkey")
-        return self.raw("orders").select(
-            _tag("T", k).alias("trip_id"), _tag("R", k % 60).alias("route_id"), _tag("V", k % 2).alias("service_id"),
+        parts = self.raw("part").agg(F.min("p_partkey").alias("low"), F.count("p_partkey").alias("parts"))
+        return with_scalar(self.raw("orders"), parts).select(
+            _tag("T", k).alias("trip_id"), _tag("R", F.col("low") + k % F.col("parts")).alias("route_id"), _tag("V", k % 2).alias("service_id"),
             F.col("o_orderpriority").alias("trip_headsign"), _mode_of(k).alias("mode"), _versions(),
         )
 

@@ -209,7 +209,7 @@ add(
 )
 add(
     "w5_nearest_by_tree",
-    lambda f: wx.assign_districts(f.stops(), f.districts(), max_literal=0, leaf_centres=2).select("stop_id", "stop_name", "district_name", F.round("distance_m", 3).alias("distance_m")),
+    lambda f: wx.assign_districts(f.stops(), f.districts(), leaf_centres=2).select("stop_id", "stop_name", "district_name", F.round("distance_m", 3).alias("distance_m")),
     "SELECT stop_id, stop_name, district_name, round(2 * 6371008.8::DOUBLE * d, 3) AS distance_m FROM nearest_district",
 )
 _WX = """SELECT stop_id, stop_name, n.district_name, h.timestamp AS weather_timestamp, temperature_2m, wind_speed_10m, relative_humidity_2m,

@@ -112,11 +112,11 @@ add("a17_corr_with_delay", lambda f: rounded(st.corr_with(_numeric(f), "delay",
     " UNION ALL ".join(f"SELECT '{a}' AS feature, round(corr(delay, {a}), 6) AS corr FROM {_CD}" for a in _CORR))
 
 
-def _kruskal_sql(features):
+def _kruskal_sql(features, digits=4):
     parts = []
     for f in features:
         parts.append(f"""SELECT '{f}' AS feature, count(DISTINCT lvl) AS groups, max(n) AS rows,
-            round((12 / (max(n)::DOUBLE * (max(n) + 1)) * sum(r * r / c) - 3 * (max(n) + 1)) / (1 - max(ties) / (max(n)::DOUBLE ** 3 - max(n))), 4) AS h
+            round((12 / (max(n)::DOUBLE * (max(n) + 1)) * sum(r * r / c) - 3 * (max(n) + 1)) / (1 - max(ties) / (max(n)::DOUBLE ** 3 - max(n))), {digits}) AS h
             FROM (SELECT lvl, sum(rk) AS r, count(*) AS c, max(n) AS n, max(t) AS ties FROM (
                   SELECT lvl, rk, n, (SELECT sum(c::DOUBLE ** 3 - c) FROM (SELECT count(*) AS c FROM delays WHERE {f} IS NOT NULL AND delay IS NOT NULL GROUP BY delay)) AS t
                   FROM (SELECT {f}::VARCHAR AS lvl, rank() OVER (ORDER BY delay) + (count(*) OVER (PARTITION BY delay) - 1) / 2 AS rk, count(*) OVER () AS n
@@ -126,7 +126,10 @@ def _kruskal_sql(features):
 
 _KF = ["mode", "route_short_name", "stop_sequence"]
 add("a18_kruskal", lambda f: rounded(st.kruskal_by(f.delays(), "delay", _KF).drop("p"), "h", digits=4), _kruskal_sql(_KF))
-add("a18_kruskal_p", lambda f: st.kruskal_by(f.delays(), "delay", _KF))
+# For an even number of degrees of freedom the tail is a finite sum: modes (5 levels) and stop positions (25).
+add("a18_kruskal_p", lambda f: rounded(st.kruskal_by(f.delays(), "delay", ["mode", "stop_sequence"]).select("feature", "groups", "p"), "p", digits=8),
+    f"""SELECT feature, groups, round(exp(-h / 2) * (SELECT sum((h / 2) ** k / gamma(k + 1)) FROM range(((groups - 1) // 2)::BIGINT) t(k)), 8) AS p
+        FROM ({_kruskal_sql(["mode", "stop_sequence"], 12)})""")
 add("a19_density", lambda f: rounded(st.kde(f.delays(), "delay", 50), "x", "density", digits=8),
     """SELECT point::INTEGER AS point, round(x, 8) AS x, round(sum(exp(-0.5 * ((x - delay) / h) ** 2)) / (any_value(n) * any_value(h) * sqrt(2 * pi())), 8) AS density
        FROM (SELECT unnest(range(50)) AS point, min(delay) + unnest(range(50)) * (max(delay) - min(delay))::DOUBLE / 49 AS x, count(delay) AS n,
@@ -154,7 +157,7 @@ add("a18_average_ranks", lambda f: cumulative_counts(f.delays(), "delay", ["mode
        (sum(count(*)) OVER (PARTITION BY mode))::BIGINT AS total FROM delays WHERE delay IS NOT NULL GROUP BY mode, delay""")
 
 # order and top-k
-add("o1_sorted_layout", lambda f: f.hourly_weather().select("district_name", "timestamp", "temperature_2m").repartition("district_name").sortWithinPartitions("district_name", "timestamp"),
+add("o1_sorted_layout", lambda f: f.hourly_weather().select("district_name", "timestamp", "temperature_2m").repartitionByRange("district_name", "timestamp").sortWithinPartitions("district_name", "timestamp"),
     "SELECT district_name, timestamp, temperature_2m FROM hourly_weather")
 add("o2_report_order", lambda f: st.delay_by(f.delays(), "route_short_name", ["count", "max"]).orderBy(F.col("max").desc(), "grp"),
     "SELECT route_short_name AS grp, count(delay) AS count, max(delay) AS max FROM delays GROUP BY 1")
@@ -164,7 +167,8 @@ add("o3_worst_stops", lambda f: rounded(st.rank_groups(f.delays(), "stop_name",
 add("o4_top_k_per_group", lambda f: st.top_k_per_group(f.delays(), "mode", "route_short_name", 3, 5),
     """SELECT mode, route_short_name, count(*) AS cnt, row_number() OVER (PARTITION BY mode ORDER BY count(*) DESC, route_short_name)::INTEGER AS rank FROM delays
        WHERE mode IN (SELECT mode FROM delays GROUP BY 1 ORDER BY count(*) DESC, mode LIMIT 3) GROUP BY 1, 2 QUALIFY rank <= 5""")
-add("o5_head", lambda f: f.delays().limit(5).select("trip_id", "stop_id", "delay"))
+add("o5_head", lambda f: f.delays().orderBy("actual_arrival", "trip_id", "stop_id").limit(5).select("trip_id", "stop_id", "delay"),
+    "SELECT trip_id, stop_id, delay FROM delays ORDER BY actual_arrival, trip_id, stop_id LIMIT 5")
 add("o6_chronological", lambda f: f.delays().orderBy("trip_id", "actual_arrival").select("trip_id", "actual_arrival", "stop_sequence"),
     "SELECT trip_id, actual_arrival, stop_sequence FROM delays ORDER BY 1, 2")
 

@@ -28,11 +28,11 @@ CTES: dict[str, str] = {
         FROM part, {_M},
              (VALUES (0, '', TIMESTAMP '1900-01-01', TIMESTAMP '2024-01-10'), (0, 'n', TIMESTAMP '2024-01-10', NULL),
                      (1, '', TIMESTAMP '1900-01-01', NULL)) r(odd, suffix, valid_from, valid_to)
-        WHERE p_partkey < 60 AND p_partkey % 2 = odd""",
+        WHERE p_partkey % 2 = odd""",
     "trips": f"""
-        SELECT 'T' || o_orderkey AS trip_id, 'R' || (o_orderkey % 60) AS route_id, 'V' || (o_orderkey % 2) AS service_id,
+        SELECT 'T' || o_orderkey AS trip_id, 'R' || (low + o_orderkey % parts) AS route_id, 'V' || (o_orderkey % 2) AS service_id,
                o_orderpriority AS trip_headsign, {_mode('o_orderkey')} AS mode, load_timestamp
-        FROM orders, {_V}""",
+        FROM orders, {_V}, (SELECT min(p_partkey) AS low, count(*) AS parts FROM part)""",
     "visits": """
         SELECT l_orderkey AS ok, l_linenumber AS ln, min(l_suppkey) AS supp, min(l_partkey) AS part, sum(l_quantity) AS dist
         FROM lineitem GROUP BY ALL""",
@@ -130,10 +130,10 @@ CTES: dict[str, str] = {
         SELECT s.*, u.actual, u.load_timestamp AS update_timestamp,
                strptime(s.event_date, '%Y%m%d') + to_hours(s.plan_hour) + to_minutes(split_part(s.arrival_time, ':', 2)::INTEGER)
                  + to_seconds(split_part(s.arrival_time, ':', 3)::INTEGER) AS planned
-        FROM updates u JOIN (SELECT *, split_part(arrival_time, ':', 1)::INTEGER AS plan_hour FROM schedule) s
-          ON s.trip_id = u.trip_id AND s.mode = u.mode AND s.stop_id = u.stop_id
-        WHERE date_diff('day', u.actual::DATE, strptime(s.event_date, '%Y%m%d')::DATE)
-              = CASE WHEN hour(u.actual) = 23 AND plan_hour = 0 THEN 1 WHEN hour(u.actual) = 0 AND plan_hour = 23 THEN -1 ELSE 0 END""",
+        FROM (SELECT *, strftime(actual::DATE + step, '%Y%m%d') AS near FROM updates, (VALUES (-1), (0), (1)) moved(step)) u
+        JOIN (SELECT *, split_part(arrival_time, ':', 1)::INTEGER AS plan_hour FROM schedule) s
+          ON s.trip_id = u.trip_id AND s.mode = u.mode AND s.stop_id = u.stop_id AND s.event_date = u.near
+        WHERE step = CASE WHEN hour(u.actual) = 23 AND plan_hour = 0 THEN 1 WHEN hour(u.actual) = 0 AND plan_hour = 23 THEN -1 ELSE 0 END""",
     "delay_mart": """
         SELECT trip_id, stop_id, stop_name, trip_headsign, stop_sequence, actual AS actual_arrival, route_short_name, planned AS planned_arrival,
                mode, event_date, update_timestamp AS load_timestamp, load_timestamp AS schedule_timestamp,
@@ -214,5 +214,5 @@ def sql(body: str) -> str:
 
     seen: set[str] = set()
     visit(body)
-    ctes = ",\n".join(f"{name} AS ({_text(name)})" for name in order)
+    ctes = ",\n".join(f"{name} AS MATERIALIZED ({_text(name)})" for name in order)
     return f"WITH {ctes}\n{body}" if ctes else body

@@ -7,26 +7,18 @@ from pyspark.sql import functions as F
 
 from punctualis.functions.geo import haversine_m
 
-MAX_LITERAL_CENTRES = 512
 TREE_DEPTH = 24
 LEAF_CENTRES = 64
 
 
-def nearest(
-    points: DataFrame, centres: DataFrame, max_literal: int = MAX_LITERAL_CENTRES, leaf_centres: int = LEAF_CENTRES
-) -> DataFrame:
+def nearest(points: DataFrame, centres: DataFrame, leaf_centres: int = LEAF_CENTRES) -> DataFrame:
     """Add ``centre`` and ``distance_m`` of the closest centre to every row of ``points``.
 
     ``points``: lat, lon plus payload; ``centres``: centre (name), lat, lon. Ties go to the smaller name.
-    Up to ``max_literal`` centres travel as one constant array, so the step needs no shuffle.
-    More centres go through an exact search in a quadtree of bounded leaves.
+    The search is exact, over the leaves of a quadtree; no job runs while the plan is built.
     """
     centres = centres.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
-    centres = centres.groupBy("lat", "lon").agg(F.min("centre").alias("centre"))
-    head = centres.limit(max_literal + 1).collect()
-    if len(head) <= max_literal:
-        return _by_constant(points, head)
-    return _by_tree(points, centres, leaf_centres)
+    return _by_tree(points, centres.groupBy("lat", "lon").agg(F.min("centre").alias("centre")), leaf_centres)
 
 
 def _closest(found: Column, lat: Column, lon: Column) -> Column:
@@ -35,16 +27,6 @@ def _closest(found: Column, lat: Column, lon: Column) -> Column:
     )
 
 
-def _by_constant(points: DataFrame, rows: list) -> DataFrame:
-    if not rows:
-        return points.withColumns({"centre": F.lit(None).cast("string"), "distance_m": F.lit(None).cast("double")})
-    known = F.array(
-        *[F.struct(F.lit(r["lat"]).alias("lat"), F.lit(r["lon"]).alias("lon"), F.lit(r["centre"]).alias("centre")) for r in rows]
-    )
-    hit = F.when(F.col("lat").isNotNull() & F.col("lon").isNotNull(), _closest(known, F.col("lat"), F.col("lon")))
-    return points.withColumn("_hit", hit).withColumns({"centre": F.col("_hit.name"), "distance_m": F.col("_hit.d")}).drop("_hit")
-
-
 def _unit_vector(lat: Column, lon: Column) -> list[Column]:
     a, b = F.radians(lat), F.radians(lon)
     return [F.cos(a) * F.cos(b), F.cos(a) * F.sin(b), F.sin(a)]

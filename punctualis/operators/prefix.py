@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from punctualis.operators.joins import with_scalar
+
 SPLITS = 256  # a power of two
 
 
@@ -63,8 +65,8 @@ def cumulative_counts(df: DataFrame, value: str, groups: Sequence[str] = (), wei
     counted = counted.withColumn("_grp", F.struct(*groups, F.lit(0).alias("_all")))
 
     points = [i / SPLITS for i in range(1, SPLITS)]
-    cuts = counted.groupBy("_grp").agg(F.percentile_approx(value, points, 4 * SPLITS).alias("_cuts"))
-    counted = counted.join(cuts, "_grp", "inner")
+    found = F.percentile_approx(value, points, 4 * SPLITS).alias("_cuts")
+    counted = counted.join(counted.groupBy("_grp").agg(found), "_grp", "inner") if groups else with_scalar(counted, counted.agg(found))
     # binary search: how many cuts lie below the value
     steps = F.array(*[F.lit(SPLITS >> i) for i in range(1, SPLITS.bit_length())])
     chunk = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get("_cuts", at + step - 1) < F.col(value), at + step).otherwise(at))

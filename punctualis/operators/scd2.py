@@ -40,8 +40,9 @@ def scd2_merge(
     """New content of a versioned dimension after the newest load of ``staged``.
 
     A changed key gets its current version closed at the load time and a new version opened there.
-    A key never seen before starts in 1900. Unchanged and vanished keys stay as they are.
-    Comparison is NULL-safe, and merging the same load again changes nothing.
+    A key never seen before starts in 1900. Unchanged and vanished keys stay as they are. Keys and content are
+    compared NULL-safe, merging the same load again changes nothing, and a load that is not newer than the
+    current version of a key leaves that key alone.
     """
     keys = list(keys)
     skip = {*keys, *exclude, ts, *VERSION_COLUMNS}
@@ -51,11 +52,14 @@ def scd2_merge(
     content = F.struct(*tracked)
 
     load = latest_per_key(latest_load(staged, ts), keys, [F.col(c) for c in tracked])
-    state = target.groupBy(*keys).agg(F.max(F.when(F.col("is_current"), content)).alias("_cur"))
+    state = target.groupBy(F.struct(*keys).alias("_key")).agg(
+        F.max(F.when(F.col("is_current"), content)).alias("_cur"), F.max(F.when(F.col("is_current"), F.col("valid_from"))).alias("_since")
+    )
     seen = state.withColumn("_seen", F.lit(True))
 
-    compared = load.join(seen, keys, "left")
+    compared = load.withColumn("_key", F.struct(*keys)).join(seen, "_key", "left")
     same = F.col("_cur").isNotNull() & F.col("_cur").eqNullSafe(content)
+    same = same | F.coalesce(F.col(ts) <= F.col("_since"), F.lit(False))
     first = F.lit(FIRST_VERSION).cast("timestamp_ntz")
     opened = compared.filter(~same).select(
         *staged.columns,
@@ -64,10 +68,10 @@ def scd2_merge(
         F.lit(True).alias("is_current"),
     )
 
-    incoming = load.select(*keys, content.alias("_new"), F.col(ts).alias("_at"))
-    close = F.col("is_current") & F.col("_new").isNotNull() & ~F.col("_new").eqNullSafe(content)
+    incoming = load.select(F.struct(*keys).alias("_key"), content.alias("_new"), F.col(ts).alias("_at"))
+    close = F.col("is_current") & F.col("_new").isNotNull() & ~F.col("_new").eqNullSafe(content) & (F.col("_at") > F.col("valid_from"))
     close = F.coalesce(close, F.lit(False))
-    kept = target.join(incoming, keys, "left").select(
+    kept = target.withColumn("_key", F.struct(*keys)).join(incoming, "_key", "left").select(
         *staged.columns,
         "valid_from",
         F.when(close, F.col("_at")).otherwise(F.col("valid_to")).alias("valid_to"),
@@ -77,5 +81,6 @@ def scd2_merge(
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target rows without a source row of the same key, plus all source rows."""
-    return target.join(source.select(*keys), list(keys), "left_anti").unionByName(source)
+    """Target rows without a source row of the same key (NULL parts are equal), plus all source rows."""
+    replaced = source.select(F.struct(*keys).alias("_key")).distinct()
+    return target.withColumn("_key", F.struct(*keys)).join(replaced, "_key", "left_anti").drop("_key").unionByName(source)

@@ -226,18 +226,25 @@ def chi_square_tail(x: Column, dof: Column) -> Column:
 def kde(df: DataFrame, col: str, grid: int = 200) -> DataFrame:
     """Gaussian density at ``grid`` even points from minimum to maximum (Scott bandwidth).
 
-    Works on the counts of distinct values. Every value adds to all grid points, which are summed
-    on the map side, so the shuffle carries at most ``grid`` rows per task.
+    Works on the counts of distinct values, in one pass with one sum per grid point, so no row is repeated and
+    the shuffle carries one row per task.
     """
     counted = value_counts(df, col)
     scale = df.agg(
         F.count(col).alias("_n"), F.stddev_samp(col).alias("_sd"), F.min(col).cast("double").alias("_lo"), F.max(col).cast("double").alias("_hi")
     ).withColumn("_h", F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2)))
-    x = F.col("_lo") + F.col("point") * (F.col("_hi") - F.col("_lo")) / (grid - 1)
-    spread = with_scalar(counted, scale).withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
-    z = (x - F.col(col)) / F.col("_h")
-    weight = F.col("cnt") * F.exp(-0.5 * z * z) / (F.col("_n") * F.col("_h") * F.sqrt(F.lit(2 * 3.141592653589793)))
-    return spread.groupBy("point", x.alias("x")).agg(F.sum(weight).alias("density"))
+
+    def at(point: Column) -> Column:
+        return F.col("_lo") + point * (F.col("_hi") - F.col("_lo")) / (grid - 1)
+
+    def density(point: int) -> Column:
+        z = (at(F.lit(point)) - F.col(col)) / F.col("_h")
+        weight = F.col("cnt") * F.exp(-0.5 * z * z) / (F.col("_n") * F.col("_h") * F.sqrt(F.lit(2 * 3.141592653589793)))
+        return F.sum(weight)
+
+    sums = with_scalar(counted, scale).groupBy("_lo", "_hi").agg(F.array(*[density(i) for i in range(grid)]).alias("_sums"))
+    points = sums.select("_lo", "_hi", F.posexplode("_sums").alias("point", "density"))
+    return points.select("point", at(F.col("point")).alias("x"), "density")
 
 
 def reference_districts(districts: DataFrame) -> DataFrame:

@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from punctualis.functions.times import date_text, parse_date
 from punctualis.operators.dedup import latest_per_key
-from punctualis.operators.joins import only_in, with_scalar
+from punctualis.operators.joins import with_scalar
 
-SERIES_DAYS = 10_000
 DAY_FLAGS = ["sunday", "monday", "tuesday", "wednesday", "thursday", "friday", "saturday"]
 
 
@@ -22,12 +21,12 @@ def service_runs_on(day: Column, exception: Column) -> Column:
 def service_days(calendar: DataFrame) -> DataFrame:
     """One row per service version and date of its period.
 
-    The date series starts at the first load of the table and has 10,000 days, so a period is cut to
-    that range. Each row generates its own dates; there is no join with a date table.
+    A period starts at the first load of the table at the earliest and runs to its own end, however far
+    that is. Each row generates its own dates; there is no join with a date table.
     """
     first = calendar.agg(F.min(F.to_date("load_timestamp")).alias("_first"))
     start = F.greatest(parse_date("start_date"), F.col("_first"))
-    end = F.least(parse_date("end_date"), F.date_add("_first", SERIES_DAYS - 1))
+    end = parse_date("end_date")
     ranged = with_scalar(calendar, first).withColumns({"_start": start, "_end": end}).filter(F.col("_start") <= F.col("_end"))
     return ranged.withColumn("day", F.explode(F.sequence("_start", "_end"))).drop("_first", "_start", "_end")
 
@@ -50,9 +49,11 @@ def latest_calendar(expanded: DataFrame, stop_times: DataFrame, all_services: bo
     """Per mode and date the newest calendar load that also has stop times.
 
     One service per mode and date is kept (smallest service_id); ``all_services`` keeps all of the
-    newest load.
+    newest load. The load times with stop times, one value per load, travel as one row, so neither side
+    is shuffled on them.
     """
-    loaded = only_in(expanded, stop_times.select("load_timestamp").distinct(), ["load_timestamp"])
+    loads = stop_times.agg(F.collect_set("load_timestamp").alias("_loads"))
+    loaded = with_scalar(expanded, loads).filter(F.array_contains("_loads", F.col("load_timestamp"))).drop("_loads")
     newest = F.col("load_timestamp").desc()
     if not all_services:
         return latest_per_key(loaded, ["mode", "event_date"], [newest, F.col("service_id")])

@@ -15,21 +15,16 @@ from punctualis.functions.times import (
 from punctualis.operators.dedup import dedup_exact, latest_per_key, sample_per_group
 from punctualis.operators.stats import reference_districts
 
-MAX_REFERENCES = 64
-
 
 def reference_points(districts: DataFrame) -> list[tuple[str, float, float]]:
     """(column suffix, latitude, longitude) of the reference districts.
 
-    Each becomes a column, so their number must be small; more than 64 is an error, never a cut.
+    Each becomes a column of the feature table. A caller with a list of its own passes that instead.
     """
     named = reference_districts(districts).select(
         strip_diacritics(slug("district_name")).alias("name"), "latitude", "longitude"
     ).distinct()
-    rows = named.limit(MAX_REFERENCES + 1).collect()
-    if len(rows) > MAX_REFERENCES:
-        raise ValueError(f"more than {MAX_REFERENCES} reference districts; each would become a column")
-    return [(r["name"], r["latitude"], r["longitude"]) for r in sorted(rows)]
+    return [(r["name"], r["latitude"], r["longitude"]) for r in sorted(named.collect())]
 
 
 def with_distances(df: DataFrame, references: Sequence[tuple[str, float, float]]) -> DataFrame:

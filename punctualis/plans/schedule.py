@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from punctualis.functions.times import date_text, is_night, normalize_time, parse_date, shift_date
 from punctualis.operators.dedup import latest_per_key
-from punctualis.operators.joins import join_scd2, only_in
+from punctualis.operators.joins import join_scd2, with_scalar
 from punctualis.plans.calendar import latest_calendar
 
 VERSION = ["mode", "load_timestamp"]
+SALTS = 32
 COLUMNS = [
     "trip_id", "mode", "route_short_name", "arrival_time", "stop_sequence", "shape_dist_traveled", "trip_headsign",
     "stop_name", "stop_id", "stop_lat", "stop_lon", "event_date", "is_night_trip", "load_timestamp",
@@ -20,11 +21,13 @@ COLUMNS = [
 def trip_days(trips: DataFrame, routes_scd2: DataFrame, calendar: DataFrame) -> DataFrame:
     """Trips with their route version and the list of service dates (``days``) of their service.
 
-    The dates stay an array (at most 10,000 per service) until the stop times are joined, so the
-    large join does not carry one row per date, and a service that runs most trips is only joined
-    on trip level. A version of a trip counts once, even when its feed was loaded twice.
+    The dates stay an array (one service's days) until the stop times are joined, so the large join does
+    not carry one row per date. A few services run most trips, so the key is salted: trips are spread over
+    ``SALTS`` parts and each service's one row is repeated for every part. A version of a trip counts once,
+    even when its feed was loaded twice.
     """
     dates = calendar.groupBy("service_id", *VERSION).agg(F.sort_array(F.collect_set("event_date")).alias("days"))
+    dates = dates.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     unique = latest_per_key(
         trips.select("trip_id", "route_id", "service_id", "trip_headsign", *VERSION),
         ["trip_id", *VERSION],
@@ -36,7 +39,8 @@ def trip_days(trips: DataFrame, routes_scd2: DataFrame, calendar: DataFrame) ->
         ["route_id", "mode"],
         "load_timestamp",
     )
-    return routed.join(dates, ["service_id", *VERSION], "inner").select(
+    routed = routed.withColumn("_salt", F.pmod(F.hash("trip_id"), F.lit(SALTS)))
+    return routed.join(dates, ["service_id", *VERSION, "_salt"], "inner").select(
         "trip_id", *VERSION, "trip_headsign", "route_short_name", "days"
     )
 
@@ -53,13 +57,15 @@ def build_trips_schedule(
 
     A stop visited twice by a trip keeps its first visit. Since every mode and date has one load
     version, that choice does not depend on the date and is made before the dates are added.
-    Stop times of load versions that no date uses are cut before their first shuffle.
+    Stop times of load versions that no date uses are cut before their first shuffle: the used versions,
+    one value per mode and load, travel as one row.
     """
     chosen = latest_calendar(calendar, stop_times, all_services)
-    used = chosen.select(*VERSION).distinct()
+    used = chosen.agg(F.collect_set(F.struct(*VERSION)).alias("_used"))
+    served = with_scalar(stop_times, used).filter(F.array_contains("_used", F.struct(*VERSION))).drop("_used")
     days = trip_days(trips, routes_scd2, chosen)
     visits = latest_per_key(
-        only_in(stop_times, used, VERSION).select("trip_id", "stop_id", "stop_sequence", "arrival_time", "shape_dist_traveled", *VERSION),
+        served.select("trip_id", "stop_id", "stop_sequence", "arrival_time", "shape_dist_traveled", *VERSION),
         ["trip_id", "stop_id", *VERSION],
         [F.col("stop_sequence"), F.col("arrival_time")],
     )

@@ -9,6 +9,8 @@ from punctualis.operators.dedup import latest_per_key
 from punctualis.operators.nearest import nearest
 from punctualis.schemas import HOURLY_FIELDS
 
+SALTS = 16
+
 
 def assign_districts(stops: DataFrame, districts: DataFrame, **search) -> DataFrame:
     """(stop_id, stop_name, district_name, distance_m): nearest district per stop.
@@ -26,7 +28,13 @@ def assign_districts(stops: DataFrame, districts: DataFrame, **search) -> DataFr
 
 
 def stops_weather(stops: DataFrame, districts: DataFrame, weather: DataFrame) -> DataFrame:
-    """Stop x hour with the weather of the stop's district."""
-    assigned = assign_districts(stops, districts).drop("distance_m")
+    """Stop x hour with the weather of the stop's district.
+
+    There are few districts, so the key is salted: the hours are spread over ``SALTS`` parts, the stops, which do not
+    grow with time, are repeated for every part.
+    """
+    parts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    assigned = assign_districts(stops, districts).drop("distance_m").withColumn("_salt", parts)
     hours = weather.select("district_name", F.col("timestamp").alias("weather_timestamp"), *HOURLY_FIELDS)
-    return assigned.join(hours, "district_name", "inner").select("stop_id", "stop_name", "district_name", "weather_timestamp", *HOURLY_FIELDS)
+    hours = hours.withColumn("_salt", F.pmod(F.hash("weather_timestamp"), F.lit(SALTS)))
+    return assigned.join(hours, ["district_name", "_salt"], "inner").select("stop_id", "stop_name", "district_name", "weather_timestamp", *HOURLY_FIELDS)

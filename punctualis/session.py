@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings. AQE picks broadcast joins from measured sizes, coalesces small shuffle
@@ -37,14 +35,3 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "
     )
     spark.sparkContext.setLogLevel("ERROR")
     return tune(spark)
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the cluster; a temporary one only where none is set."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured is None:
-        configured = spark.sparkContext.getCheckpointDir()
-    if configured is None:
-        configured = tempfile.mkdtemp(prefix="punctualis-checkpoint-")
-    spark.sparkContext.setCheckpointDir(configured)
-    return configured

@@ -14,8 +14,6 @@ from punctualis.operators.dedup import dedup_exact, duplicate_report
 from punctualis.operators.scd2 import latest_load, scd2_empty, scd2_merge, upsert
 from punctualis.schemas import STATIC_CONFIG
 
-CHUNK_BYTES = 50 * 1024 * 1024
-
 
 def normalize_schema(df: DataFrame) -> DataFrame:
     """Upper-case names and the four storage types: integer, float, timestamp, text.
@@ -46,6 +44,11 @@ def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def read_typed(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """The table at ``path`` with the given types, also for partition columns, whose text Spark would read as numbers."""
+    return spark.read.schema(schema).parquet(path)
+
+
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Append; an empty batch still creates the table with its schema."""
     _balanced(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
@@ -56,7 +59,7 @@ def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = ())
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """Replace only the partitions that occur in ``df``."""
+    """Replace only the partitions that occur in ``df``; read back with ``read_typed`` to keep the type of a text key."""
     writer = _balanced(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*partition_by).parquet(path)
 
@@ -114,41 +117,52 @@ def with_day(df: DataFrame, ts: str = "load_timestamp") -> DataFrame:
     return df.withColumn("d", F.to_date(ts))
 
 
-def missing_days(src: DataFrame, days: DataFrame) -> DataFrame:
-    """Rows of ``src`` (with day ``d``) on days that ``days`` does not have."""
-    return src.join(days.select("d").distinct(), "d", "left_anti")
+def changed_days(src: DataFrame, done: DataFrame) -> DataFrame:
+    """Rows of ``src`` on days (column ``d``) that ``done`` holds with another number of rows, or not at all.
+
+    A day without a time (NULL) is a day like any other.
+    """
+    count = lambda df, name: df.groupBy("d").agg(F.count(F.lit(1)).alias(name))
+    had = count(done.select("d"), "_had").withColumnRenamed("d", "_d")
+    days = count(src, "_has").join(had, F.col("d").eqNullSafe(F.col("_d")), "left").filter(~F.col("_has").eqNullSafe(F.col("_had")))
+    return src.join(days.select(F.col("d").alias("_d")), F.col("d").eqNullSafe(F.col("_d")), "left_semi")
 
 
 def export_daily(df: DataFrame, path: str, ts: str = "load_timestamp") -> None:
-    """One partition per calendar day; days that exist already are not exported again."""
-    pending = with_day(df.filter(F.col(ts).isNotNull()), ts)
+    """One partition per calendar day; days that gained rows since the last export are written again as a whole.
+
+    Rows without a time have a partition of their own, so nothing is left out.
+    """
+    pending = with_day(df, ts)
     done = read_or_none(df.sparkSession, path)
-    if done is not None:
-        pending = missing_days(pending, done)
-    _by_day(pending, path)
+    _replace_days(pending if done is None else changed_days(pending, done), path)
 
 
-def newer_than(df: DataFrame, since: str | None, ts: str = "load_timestamp") -> DataFrame:
-    """Rows after the high-water mark of the last run; all rows without one."""
-    return df if since is None else df.filter(F.col(ts) > F.lit(since).cast("timestamp_ntz"))
+def from_day_of(df: DataFrame, since: str, ts: str = "load_timestamp") -> DataFrame:
+    """Rows (with day ``d``) of the days from the high-water mark on, and those without a time."""
+    dated = with_day(df, ts)
+    return dated.filter(F.col("d").isNull() | (F.col("d") >= F.to_date(F.lit(since).cast("timestamp_ntz"))))
 
 
 def export_incremental(df: DataFrame, path: str, since: str | None, ts: str = "load_timestamp") -> None:
-    """Append the rows after ``since`` to the daily partitions."""
+    """Write the days from the mark on again; running it twice with one mark changes nothing."""
     if since is None:
         return export_daily(df, path, ts)
-    _by_day(with_day(newer_than(df, since, ts), ts), path)
+    _replace_days(from_day_of(df, since, ts), path)
+
 
+def _replace_days(df: DataFrame, path: str) -> None:
+    overwrite_partitions(df, path, ["d"])
 
-def _by_day(df: DataFrame, path: str) -> None:
-    append_table(df, path, ["d"])
 
+def export_strategy(has_timestamp: bool, since: str | None) -> str:
+    """``full`` for tables without load times, else ``daily``, or ``incremental`` after a mark.
 
-def export_strategy(size_bytes: int, has_timestamp: bool, since: str | None, fresh: bool = True) -> str:
-    """``full`` for small tables and those without load times, else ``daily`` or ``incremental``."""
-    if size_bytes <= CHUNK_BYTES or (fresh and not has_timestamp):
+    A table keeps one layout whatever its size: by day if it has load times.
+    """
+    if not has_timestamp:
         return "full"
-    return "incremental" if fresh and since is not None else "daily"
+    return "daily" if since is None else "incremental"
 
 
 def export(df: DataFrame, path: str, strategy: str, since: str | None = None) -> None:
@@ -173,8 +187,13 @@ def load_parquet(spark: SparkSession, path: str, target: T.StructType) -> DataFr
 
 
 def load_missing_dates(src: DataFrame, tgt: DataFrame, ts: str = "load_timestamp") -> DataFrame:
-    """Source rows of dates the target does not have yet."""
-    return missing_days(with_day(src, ts), with_day(tgt, ts)).drop("d")
+    """Source rows the target does not have yet, each as often as it is missing.
+
+    Days with as many rows in both are taken as loaded; the others are compared row by row, so rows that come later
+    for a loaded day, and rows without a time, are loaded once.
+    """
+    pending = changed_days(with_day(src, ts), with_day(tgt, ts))
+    return pending.exceptAll(with_day(tgt, ts).select(*pending.columns)).drop("d")
 
 
 def latest_not_loaded(staged: DataFrame, target: DataFrame | None, ts: str = "load_timestamp") -> DataFrame:

@@ -14,13 +14,13 @@ def table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def adhoc_select(spark: SparkSession, text: str, limit: int = 100) -> DataFrame:
-    """Run a SELECT; a text without its own LIMIT gets one. Anything else is refused."""
+def adhoc_select(spark: SparkSession, text: str, limit: int | None = None) -> DataFrame:
+    """Run a SELECT, with an outer limit where the caller asks for one. Anything else is refused."""
     query = text.strip().rstrip(";")
     if not re.match(r"(?i)select\b", query):
         raise ValueError("only SELECT queries are permitted")
     result = spark.sql(query)
-    return result if re.search(r"(?i)\blimit\b", query) else result.limit(limit)
+    return result if limit is None else result.limit(limit)
 
 
 def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:

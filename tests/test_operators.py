@@ -113,10 +113,8 @@ def test_nearest_tree_equals_brute_force(spark):
         return 2 * asin(min(1.0, sqrt(sin((c - a) / 2) ** 2 + cos(a) * cos(c) * sin((d - b) / 2) ** 2)))
 
     want = {i: min((dist(a, b, c, d), n) for n, c, d in centres)[1] if a is not None else None for i, a, b in points}
-    tree = nearest.nearest(pdf, cdf, max_literal=10, leaf_centres=8)
+    tree = nearest.nearest(pdf, cdf, leaf_centres=8)
     assert {r["id"]: r["centre"] for r in tree.collect()} == want
-    constant = nearest.nearest(pdf, cdf, max_literal=2000)
-    assert {r["id"]: r["centre"] for r in constant.collect()} == want
 
 
 def test_kruskal_known_values(spark):
@@ -152,3 +150,20 @@ def test_small_statistics(spark):
     assert [r["cnt"] for r in stats.histogram(df, "delay", 5).orderBy("bin").collect()] == [1, 1, 0, 0, 1]
     same = spark.createDataFrame([(3,), (3,)], "v int")
     assert [r["cnt"] for r in stats.histogram(same, "v", 3).orderBy("bin").collect()] == [2, 0, 0]
+
+
+def test_scd2_null_keys_and_older_loads(spark):
+    from punctualis.operators import scd2
+
+    load = lambda day, rows: spark.createDataFrame(rows, "k string, m string, v string").withColumn("load_timestamp", F.lit(day).cast("timestamp_ntz"))
+    first = load("2024-01-02", [(None, "A", "x"), ("a", None, "y"), ("b", "B", "z")])
+    target = scd2.scd2_merge(scd2.scd2_empty(first), first, ["k", "m"])
+    assert target.count() == 3
+    assert scd2.scd2_merge(target, first, ["k", "m"]).count() == 3
+    changed = scd2.scd2_merge(target, load("2024-01-05", [(None, "A", "new"), ("b", "B", "z")]), ["k", "m"])
+    assert changed.count() == 4 and changed.filter("is_current").count() == 3
+    assert changed.filter("valid_to IS NOT NULL AND valid_to < valid_from").count() == 0
+    older = scd2.scd2_merge(changed, load("2024-01-03", [(None, "A", "old")]), ["k", "m"])
+    assert sorted(map(str, older.collect())) == sorted(map(str, changed.collect()))
+    up = scd2.upsert(first, load("2024-01-06", [(None, "A", "u")]), ["k", "m"])
+    assert sorted(r.v for r in up.collect()) == ["u", "y", "z"]

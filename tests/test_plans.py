@@ -132,13 +132,19 @@ def test_vehicle_local_date(spark):
     assert [r["vector_unique_id"] for r in vehicles.match_vehicles(pos, vec, local_date=True).collect()] == ["local"]
 
 
-def test_reference_points_refuse_to_grow(spark):
+def test_reference_points(spark):
     many = spark.range(100).select(F.col("id").cast("int").alias("district_number"), F.concat(F.lit("d"), "id").alias("district_name"), F.lit(1.0).alias("latitude"), F.lit(1.0).alias("longitude"))
-    with pytest.raises(ValueError):
-        features.reference_points(many)
+    assert len(features.reference_points(many)) == 100
     assert [n for n, _, _ in features.reference_points(Feed(spark, "").districts())] == ["Bienczyce", "Nowa_Huta", "Pradnik_Biały", "Stare_Miasto", "Swoszowice"]
 
 
+def test_service_period_has_no_longest_length(spark):
+    row = ("V", *[1] * 7, "20240101", "20600101", "A")
+    df = spark.createDataFrame([row], "service_id string, monday int, tuesday int, wednesday int, thursday int, friday int, saturday int, sunday int, start_date string, end_date string, mode string")
+    days = calendar.service_days(df.withColumn("load_timestamp", F.lit("2024-01-01").cast("timestamp_ntz")))
+    assert days.count() == 13150 and str(days.agg(F.max("day")).first()[0]) == "2060-01-01"
+
+
 def test_daily_builds_add_up_to_the_full_mart(spark, sf_dir, tmp_path):
     feed, path = Feed(spark, sf_dir), str(tmp_path / "delays")
     full = feed.delay_mart()

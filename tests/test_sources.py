@@ -141,25 +141,41 @@ def test_snapshots_window(spark, tmp_path):
 
 def test_daily_and_incremental_export(spark, tmp_path):
     path = str(tmp_path / "x")
-    day1 = stamped(spark, [(1, "2024-01-01 05:00:00"), (2, "2024-01-02 06:00:00")])
+    day1 = stamped(spark, [(1, "2024-01-01 05:00:00"), (2, "2024-01-02 06:00:00"), (0, None)])
     sinks.export(day1, path, "daily")
-    more = stamped(spark, [(1, "2024-01-01 05:00:00"), (9, "2024-01-01 23:00:00"), (2, "2024-01-02 06:00:00"), (3, "2024-01-03 00:00:00")])
-    sinks.export(more, path, "daily")
+    more = stamped(spark, [(1, "2024-01-01 05:00:00"), (9, "2024-01-01 23:00:00"), (2, "2024-01-02 06:00:00"), (3, "2024-01-03 00:00:00"), (0, None)])
     keys = lambda: sorted(r["k"] for r in spark.read.parquet(path).collect())
-    assert keys() == [1, 2, 3]
-    sinks.export(more.unionByName(stamped(spark, [(4, "2024-01-03 09:00:00")])), path, "incremental", since="2024-01-03 00:00:00")
-    assert keys() == [1, 2, 3, 4]
+    assert keys() == [0, 1, 2]
+    for _ in range(2):  # a late row of an exported day is exported, once
+        sinks.export(more, path, "daily")
+        assert keys() == [0, 1, 2, 3, 9]
+    grown = more.unionByName(stamped(spark, [(4, "2024-01-03 09:00:00"), (5, None)]))
+    for _ in range(2):
+        sinks.export(grown, path, "incremental", since="2024-01-03 00:00:00")
+        assert keys() == [0, 1, 2, 3, 4, 5, 9]
     assert not sinks.export_full(day1.limit(0), str(tmp_path / "none")) and not (tmp_path / "none").exists()
     assert sinks.export_full(day1, str(tmp_path / "full"))
 
 
-def test_export_strategy():
-    big = sinks.CHUNK_BYTES + 1
-    assert sinks.export_strategy(10, True, None) == "full"
-    assert sinks.export_strategy(big, False, None) == "full"
-    assert sinks.export_strategy(big, True, None) == "daily"
-    assert sinks.export_strategy(big, True, "2024-01-01") == "incremental"
-    assert sinks.export_strategy(big, True, "2024-01-01", fresh=False) == "daily"
+def test_export_layout_never_changes_as_a_table_grows(spark, tmp_path):
+    assert sinks.export_strategy(False, None) == "full" == sinks.export_strategy(False, "2024-01-01")
+    assert sinks.export_strategy(True, None) == "daily"
+    assert sinks.export_strategy(True, "2024-01-01") == "incremental"
+    path = str(tmp_path / "t")
+    rows = [(i, f"2024-01-0{i % 3 + 1} 00:00:00") for i in range(10)]
+    sinks.export(stamped(spark, rows), path, sinks.export_strategy(True, None))
+    rows += [(10 + i, f"2024-01-0{i % 3 + 3} 01:00:00") for i in range(10)]
+    for since in ("2024-01-03 00:00:00", None):
+        sinks.export(stamped(spark, rows), path, sinks.export_strategy(True, since), since)
+        assert spark.read.parquet(path).count() == 20
+
+
+def test_missing_rows_of_loaded_days_are_loaded_once(spark):
+    rows = [(1, "2024-01-01 05:00:00"), (2, "2024-01-02 06:00:00"), (3, None)]
+    more = [*rows, (4, "2024-01-01 07:00:00"), (4, "2024-01-01 07:00:00"), (5, "2024-01-03 07:00:00"), (6, None)]
+    missing = sinks.load_missing_dates(stamped(spark, more), stamped(spark, rows))
+    assert sorted(r["k"] for r in missing.collect()) == [4, 4, 5, 6]
+    assert sinks.load_missing_dates(stamped(spark, more), stamped(spark, more)).count() == 0
 
 
 def test_load_by_name_and_replace(spark, tmp_path):
@@ -212,8 +228,8 @@ def test_normalized_schema(spark):
 
 def test_adhoc_guard_and_catalog(spark):
     spark.range(300).createOrReplaceTempView("numbers")
-    assert tables.adhoc_select(spark, " select id from numbers; ").count() == 100
-    assert tables.adhoc_select(spark, "SELECT id FROM numbers LIMIT 150").count() == 150
+    assert tables.adhoc_select(spark, " select id, 'speed limit' from numbers; ").count() == 300
+    assert tables.adhoc_select(spark, "SELECT id FROM numbers LIMIT 150", limit=100).count() == 100
     assert tables.adhoc_select(spark, "SELECT id FROM numbers", limit=7).count() == 7
     for text in ("DROP TABLE numbers", "selected", "WITH x AS (SELECT 1) SELECT * FROM x"):
         with pytest.raises(ValueError):
