@@ -7,10 +7,11 @@ stops once every place has a value below the next step: large sets after one or
 
 Groups. Documents with equal shingle sets form a class (128-bit digest of the set, pre-aggregated), which its smallest id
 stands for. Classes that agree in one of 32 bands of 4 places are candidates: pairs of similarity 0.85 miss all
-bands with probability 6e-11, 0.8 with 5e-8. First each class is confirmed against the smallest class it shares a
-band with, which connects groups of many near copies by one pair per class. Then the classes of a band that
-are still in different components are confirmed against each other, so no link is lost. A link is confirmed on
-the full shingle sets of both texts. Components are contracted in Spark jobs.
+bands with probability 6e-11, 0.8 with 5e-8. Candidates that hang together are a family; they are found by ties to
+the smallest class of each band, never by listing a band's pairs. The full texts of a family meet in one task, large
+families in pairs of blocks of about ``BLOCK_SHINGLES`` shingles. There links are confirmed on full shingle sets: each
+document reached is held against all that are not reached yet, so no link between two parts is lost and no pair
+inside a part is listed. The confirmed forests are contracted to components in Spark jobs.
 
 Defined results: NULL or blank texts have no shingle and are linked with nothing; a text with fewer words than a shingle
 is one shingle; rows with a NULL id are linked with nothing and kept; rows that share an id count as one document;
@@ -33,6 +34,7 @@ from punctualis.llm.shared import fresh, stored, table
 
 BANDS, ROWS = 32, 4
 PLACES = BANDS * ROWS
+BLOCK_SHINGLES = 2_000_000
 _RANDOM_BITS = 24
 
 
@@ -115,27 +117,45 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, SKETCH_SCHEMA)
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets have 100 * intersection >= percent * union."""
-    first = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    second = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            (data_a, off_a), (data_b, off_b) = tk.flat(batch.column("text_a")), tk.flat(batch.column("text_b"))
-            keep = []
-            for x, y in tk.chunks(off_a + off_b):
-                sets = [shingle_sets(d[o[x] : o[y]], o[x : y + 1] - o[x], k) for d, o in ((data_a, off_a), (data_b, off_b))]
-                sizes = [np.diff(offsets) for _, offsets in sets]
-                owner = np.concatenate([np.repeat(np.arange(y - x), n) for n in sizes])
-                values = np.concatenate([v for v, _ in sets])
-                order = np.lexsort((values, owner))
-                owner, values = owner[order], values[order]
-                shared = np.bincount(owner[1:][(owner[1:] == owner[:-1]) & (values[1:] == values[:-1])], minlength=y - x)
-                keep.append(100 * shared >= percent * (sizes[0] + sizes[1] - shared))
-            yield batch.select(["a", "b"]).filter(pa.array(np.concatenate(keep) if keep else np.zeros(0, bool)))
-
-    return pairs.join(first, "a").join(second, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint")
+def confirm_family(ids: np.ndarray, values: np.ndarray, offsets: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the links between full sets: each set reached is held against those not yet reached only."""
+    sizes, codes = np.diff(offsets), np.unique(values, return_inverse=True)[1]
+    marked = np.zeros(int(codes.max(initial=-1)) + 1, bool)
+    own = np.split(codes, offsets[1:-1])
+    left, froms, tos, queue = np.arange(1, len(ids)), [], [], [0]
+    left_codes = codes[offsets[1] :]
+    while len(left):
+        if not queue:
+            queue = [int(left[0])]
+            left, left_codes = left[1:], left_codes[sizes[left[0]] :]
+            continue
+        at = queue.pop()
+        marked[own[at]] = True
+        starts = np.cumsum(sizes[left]) - sizes[left]
+        shared = np.add.reduceat(marked[left_codes], starts, dtype=np.int64)
+        marked[own[at]] = False
+        hit = 100 * shared >= percent * (sizes[at] + sizes[left] - shared)
+        if hit.any():
+            froms.append(np.full(hit.sum(), ids[at]))
+            tos.append(ids[left[hit]])
+            queue.extend(left[hit].tolist())
+            left_codes = left_codes[np.repeat(~hit, sizes[left])]
+            left = left[~hit]
+    return (np.concatenate(froms), np.concatenate(tos)) if froms else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def confirm_task(rows: pa.Table, k: int, percent: int) -> pa.Table:
+    """Forests of the families (or pairs of blocks of one) of a task."""
+    rows = rows.sort_by([("family", "ascending"), ("x", "ascending"), ("y", "ascending")])
+    data, byte_offsets = tk.flat(rows.column("text").combine_chunks())
+    parts = [shingle_sets(data[byte_offsets[a] : byte_offsets[b]], byte_offsets[a : b + 1] - byte_offsets[a], k) for a, b in tk.chunks(byte_offsets)]
+    values = np.concatenate([v for v, _ in parts])
+    offsets = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(o) for _, o in parts]))])
+    ids, *names = (rows.column(c).to_numpy() for c in ("doc_id", "family", "x", "y"))
+    borders = np.flatnonzero(np.r_[True, np.any([n[1:] != n[:-1] for n in names], axis=0), True])
+    found = [confirm_family(ids[a:b], values[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], percent) for a, b in zip(borders, borders[1:]) if b - a > 1]
+    columns = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.int64)] * 2
+    return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
 
 
 def group(docs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -145,33 +165,31 @@ def group(docs: DataFrame, k: int, percent: int) -> DataFrame:
         F.min("doc_id").alias("id"), F.min("n_shingles").alias("n"), F.count(F.lit(1)).alias("copies"), F.min("bands").alias("bands")
     )
     classes = stored(classes, "classes")
-    members = classes.select(F.explode("bands").alias("key"), "id", "n")
-    buckets = members.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot < last")
-    shared = stored(members.join(buckets.select("key", "pivot"), "key"), "buckets")
-    candidates = shared.select("id").distinct()
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(candidates, F.col("doc_id") == F.col("id"), "left_semi")
-    # One text of the id: the one whose class the id stands for, if rows share an id.
-    texts = stored(texts, "texts")
-    links = _round(shared.groupBy("id").agg(F.min("pivot").alias("b")).where("b < id").select(F.col("id").alias("a"), "b"), texts, k, percent)
-    found = stored(components(links), "components")
-    labelled = shared.join(found, F.col("id") == F.col("node"), "left").select("key", "id", "n", F.coalesce("component", "id").alias("c"))
-    open_keys = labelled.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("key")
-    labelled = stored(labelled.join(open_keys, "key"), "open-buckets")
-    right = labelled.select("key", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("c").alias("c2"))
-    near = (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")) & (F.col("id") > F.col("id2")) & (F.col("c") != F.col("c2"))
-    rest = _round(labelled.join(right, "key").where(near).select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct(), texts, k, percent)
-    found = stored(components(links.unionByName(rest)), "components")
+    # Every class is tied to the smallest of each band; what hangs together is a family, and no link leaves it.
+    members = classes.select(F.explode("bands").alias("key"), "id")
+    buckets = stored(members.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot < last"), "buckets")
+    ties = members.join(buckets.select("key", "pivot"), "key").select(F.col("id").alias("a"), F.col("pivot").alias("b"))
+    families = stored(components(ties).join(classes.select("id", "n"), F.col("node") == F.col("id")).select("id", "n", F.col("component").alias("family")), "families")
+    sizes = families.groupBy("family").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("blocks"))
+    placed = stored(families.join(sizes, "family").groupBy("id", "family", "blocks").agg(F.max("n").alias("n")), "placed")
+    work = placed.agg(F.sum(F.col("n") * F.col("blocks"))).first()[0] or 0
+    tasks = max(1, -(-work // BLOCK_SHINGLES))
+    # Both sides grow with the corpus: a merge join at every size.
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(placed.drop("n").hint("merge"), F.col("doc_id") == F.col("id"))
+    texts = texts.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
+    # Block b of a family meets the blocks 0 .. blocks - 1, itself once.
+    texts = texts.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    texts = texts.withColumn("x", F.least("block", "other")).withColumn("y", F.greatest("block", "other"))
+    dealt = texts.select(F.pmod(F.xxhash64("family", "x", "y"), F.lit(tasks)).alias("task"), "family", "x", "y", "doc_id", "text")
+    links = dealt.groupBy("task").applyInArrow(lambda t: confirm_task(t, k, percent), "a bigint, b bigint")
+    found = components(links)
     grouped = classes.join(found, F.col("id") == F.col("node"), "left").where("copies > 1 OR component IS NOT NULL")
-    grouped = grouped.select("digest", F.coalesce("component", "id").alias("component"))
+    grouped = stored(grouped.select("digest", F.coalesce("component", "id").alias("component")), "groups")
     out = sketch.select("doc_id", "n_shingles", "digest").join(grouped, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def _round(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    return stored(confirmed(pairs, texts, k, percent), "confirmed")
-
-
 def near_dedup(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group, all columns: the one with the smallest id."""
     name = fresh(docs, "gone")

@@ -28,8 +28,9 @@ def _groups(rows, k, percent):
     return {i: root(i) for i in parent}
 
 
-@pytest.mark.parametrize("k, percent", [(3, 85), (5, 80)])
-def test_against_all_pairs(spark, k, percent):
+@pytest.mark.parametrize("k, percent, block", [(3, 85, 2_000_000), (5, 80, 300)])
+def test_against_all_pairs(spark, monkeypatch, k, percent, block):
+    monkeypatch.setattr(mh, "BLOCK_SHINGLES", block)
     rows = awkward_rows()
     base = prose(60, 200).split()
     for n in range(40):  # a chain: each differs from the one before by a word
