@@ -258,7 +258,8 @@ def class_texts(docs: DataFrame, members: DataFrame) -> DataFrame:
     columns = [c for c in members.columns if c != "rep"]
     picks = members.select(F.col("rep.doc_id").alias("m_id"), F.col("rep.h").alias("m_h"), F.struct(F.col("rep.line").alias("line"), *columns).alias("pick"))
     picks = picks.groupBy("m_id", "m_h").agg(F.array_sort(F.collect_list("pick")).alias("picks"))
-    joined = docs.join(picks, F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("h") == F.col("m_h")))
+    # Both sides grow with the corpus: a merge join at every size.
+    joined = docs.join(picks.hint("merge"), F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("h") == F.col("m_h")))
     wanted = F.transform("picks", lambda p: p["line"])
     numbered = F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("i"), x.alias("content")))
     lines = F.filter(numbered, lambda p: F.array_contains(wanted, p["i"]))
