@@ -20,8 +20,9 @@ def folder(f: Feed, name: str) -> str:
     """A new folder below the shared one of the session; a local session without one gets a temporary folder."""
     shared = f.spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
+        if not f.spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         shared = tempfile.mkdtemp(prefix="punctualis-")
-        f.spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
