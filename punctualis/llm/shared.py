@@ -8,14 +8,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_local: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``; only a local session without one gets a temporary folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        folder = tempfile.mkdtemp(prefix="punctualis-shared-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        if not _local:
+            _local.append(tempfile.mkdtemp(prefix="punctualis-shared-"))
+        folder = _local[0]
     return folder.rstrip("/")
 
 
