@@ -50,8 +50,7 @@ def line_sets(data: np.ndarray, offsets: np.ndarray, least: int, counts: np.ndar
     before = np.searchsorted(newlines, starts)
     line = before - np.searchsorted(newlines, offsets[:-1])[owner]
     number = np.cumsum(np.r_[True, (owner[1:] != owner[:-1]) | (line[1:] != line[:-1])]) - 1 if len(owner) else owner
-    keys = (hashes, number) if counts is None else (hashes, counts[hashes % np.uint64(BUCKETS)], number)
-    order = np.lexsort(keys)
+    order = _ordered(hashes, number, counts)
     hashes, number, owner, line = hashes[order], number[order], owner[order], line[order]
     first = np.r_[True, (number[1:] != number[:-1]) | (hashes[1:] != hashes[:-1])] if len(order) else np.zeros(0, bool)
     hashes, number, owner, line = hashes[first], number[first], owner[first], line[first]
@@ -62,6 +61,23 @@ def line_sets(data: np.ndarray, offsets: np.ndarray, least: int, counts: np.ndar
     return owner[head], line[head], np.r_[head, len(number)], hashes
 
 
+def _ordered(hashes: np.ndarray, number: np.ndarray, counts: np.ndarray | None) -> np.ndarray:
+    """Order by (line, count of the bucket, hash): one sort of a packed key, then a stable one by line.
+
+    The packed key holds the count and half of the hash. Where two words of a line agree in it, all is sorted by the
+    full keys instead, so the order is the same everywhere.
+    """
+    count = None if counts is None else counts[hashes % np.uint64(BUCKETS)].astype(np.uint64)
+    if number[-1:].max(initial=0) < 1 << 16 and (count is None or count.max(initial=0) < 1 << 32):
+        key = hashes if count is None else count << np.uint64(32) | hashes >> np.uint64(32)
+        order = np.argsort(key)
+        order = order[np.argsort(number[order].astype(np.uint16), kind="stable")]
+        n, k, h = number[order], key[order], hashes[order]
+        if count is None or not ((n[1:] == n[:-1]) & (k[1:] == k[:-1]) & (h[1:] != h[:-1])).any():
+            return order
+    return np.lexsort((hashes, number) if count is None else (hashes, count, number))
+
+
 def digests(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Two 64-bit digests of each set, from sums over its words."""
     if len(offsets) < 2:
@@ -194,6 +210,20 @@ def _passes(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     return (100 * np.minimum(sa, sb) >= percent * np.maximum(sa, sb)) & (most >= need) & (apart <= sa + sb - 2 * need)
 
 
+def _near(a: np.ndarray, b: np.ndarray, columns: tuple, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs that pass the positional filter and then the masks, word by word."""
+    size, place, bits = columns
+    both = size[a] + size[b]
+    need = -(-percent * both // (100 + percent))
+    ok = np.minimum(place[a], place[b]) + np.minimum(size[a] - place[a], size[b] - place[b]) >= need
+    a, b, most = a[ok], b[ok], (both - 2 * need)[ok]
+    for word in bits:
+        most = most - np.bitwise_count(word[a] ^ word[b])
+        ok = most >= 0
+        a, b, most = a[ok], b[ok], most[ok]
+    return a, b
+
+
 def _forest(records: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Links between the members of one large word group, each new one against those not yet reached only."""
     left, froms, tos = np.arange(1, len(records)), [], []
@@ -212,21 +242,26 @@ def _forest(records: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
 
 def shard_links(blobs: pa.Table, percent: int) -> pa.Table:
     records = np.concatenate([unpack(blob) for blob in blobs.column("records").to_pylist()])
-    records = records[np.lexsort((records["node"], records["token"]))]
+    records = records[np.lexsort((records["node"], records["size"], records["token"]))]
     same = (records["token"][1:] == records["token"][:-1]) & (records["node"][1:] == records["node"][:-1])
     records = records[np.r_[True, ~same]] if len(records) else records
     edges = np.r_[0, np.flatnonzero(records["token"][1:] != records["token"][:-1]) + 1, len(records)]
-    sizes, firsts = np.diff(edges), edges[:-1]
+    sizes = np.diff(edges)
     left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    small = np.flatnonzero((sizes > 1) & (sizes <= DENSE_GROUP))
-    for part in np.array_split(small, max(1, int((sizes[small] ** 2).sum()) // 500_000)):
-        member, place = tk.ragged(sizes[part])  # each member meets those before it
-        other, step = tk.ragged(place)
-        begin = firsts[part][member]
-        a, b = (begin + place)[other], begin[other] + step
-        ok = _passes(records[a], records[b], percent)
-        left.append(a[ok])
-        right.append(b[ok])
+    # In groups up to DENSE_GROUP, sorted by size, each member meets those before it that are long enough.
+    group = np.repeat(np.arange(len(sizes)), sizes)
+    size = records["size"].astype(np.int64)
+    key = group << 32 | size
+    lowest = np.searchsorted(key, group << 32 | -(-percent * size // 100))
+    partners = np.where(sizes[group] <= DENSE_GROUP, np.arange(len(records)) - lowest, 0)
+    columns = size, records["place"].astype(np.int64), [np.ascontiguousarray(records["bits"][:, w]) for w in range(MASK_WORDS)]
+    busy = np.flatnonzero(partners)
+    for part in np.array_split(busy, max(1, int(partners.sum()) // 500_000)):
+        member, step = tk.ragged(partners[part])
+        a = part[member]
+        a, b = _near(a, lowest[a] + step, columns, percent)
+        left.append(a)
+        right.append(b)
     for group in np.flatnonzero(sizes > DENSE_GROUP):
         a, b = _forest(records[edges[group] : edges[group + 1]], percent)
         left.append(a + edges[group])
