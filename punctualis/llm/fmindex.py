@@ -28,7 +28,7 @@ from punctualis.llm import regions as rg
 from punctualis.llm import textkit as tk
 from punctualis.llm.shared import table
 
-KIND = rg.Kind(words=True, length=35, gram=12, hot=20_000, shard_units=1_500_000)
+KIND = rg.Kind(words=True, length=35, gram=12, hot=40_000, shard_units=1_500_000)
 
 
 class WaveletMatrix:

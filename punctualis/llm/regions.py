@@ -6,8 +6,10 @@ anchors at equal places. Consecutive windows with one anchor form a region; ever
 Only regions whose anchor occurs twice or more can hold a repeated window, so only they are cut out of the texts
 and dealt to shards by anchor. The number of shards follows the amount of candidate text.
 
-An anchor with more than ``hot`` occurrences doesn't go to one shard: its regions are split into single windows, which
-are counted by content first (a pre-aggregated group) and dealt by content.
+An anchor with more than ``hot`` occurrences doesn't go to a shard as it is. Its regions are counted by content first (a
+pre-aggregated group) and only the earliest of equal ones goes on, with the number of them; all others of it repeat
+an earlier region whole. Where more than ``hot`` different regions are left, they are split into single windows, which
+are counted in the same way and dealt by content.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 from punctualis.llm import textkit as tk
 from punctualis.llm.shared import stored
 
+FILTER_BITS = 1 << 24
 _PLACE_BITS = 31  # the hash keeps 33 bits in comparisons, the same for every text
 
 
@@ -85,18 +88,21 @@ def anchors(docs: DataFrame, kind: Kind) -> DataFrame:
 
 
 def shared_marks(docs: DataFrame, kind: Kind) -> DataFrame:
-    """Per document the regions whose anchor occurs twice or more: doc_id, h, marks (anchor, first, n, hot)."""
+    """Per document the regions whose anchor occurs twice or more: doc_id, h, marks (anchor, first, n, hot).
+
+    The counts are stored, so both sides of the join come straight from a shuffle and hot anchors can be split.
+    """
     found = anchors(docs, kind)
-    counts = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    counts = stored(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("times")).where("times > 1"), "anchors")
     marks = found.join(counts, "anchor").select("doc_id", "h", F.struct("anchor", "first", "n", (F.col("times") > kind.hot).alias("hot")).alias("mark"))
-    return marks.groupBy("doc_id", "h").agg(F.collect_set("mark").alias("marks"), F.count(F.lit(1)).alias("rows"))
+    return marks.groupBy("doc_id", "h").agg(F.collect_set("mark").alias("marks"))
 
 
-_CUT = "anchor bigint, doc_id bigint, h bigint, first int, n int, hot boolean, content binary"
+_CUT = "anchor bigint, doc_id bigint, h bigint, first int, n int, content binary"
 
 
 def cut(docs: DataFrame, marks: DataFrame, kind: Kind) -> DataFrame:
-    """The text of each marked region (_CUT); words are joined by one space. Regions of hot anchors become windows."""
+    """The text of each marked region (_CUT); words are joined by one space."""
     renamed = marks.select(F.col("doc_id").alias("m_id"), F.col("h").alias("m_h"), "marks")
     joined = docs.join(renamed, F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("h") == F.col("m_h"))).select("doc_id", "h", "text", "marks")
 
@@ -108,10 +114,7 @@ def cut(docs: DataFrame, marks: DataFrame, kind: Kind) -> DataFrame:
                 mine = lists.slice(a, len(offsets) - 1)
                 owner = np.repeat(np.arange(len(mine)), mine.value_lengths().to_numpy(zero_copy_only=False))
                 marks = mine.flatten()
-                anchor, first, n, hot = (marks.field(f).to_numpy(zero_copy_only=False) for f in ("anchor", "first", "n", "hot"))
-                parts, step = tk.ragged(np.where(hot, n, 1))
-                owner, anchor, hot = owner[parts], anchor[parts], hot[parts]
-                first, n = first[parts] + step, np.where(hot, 1, n[parts])
+                anchor, first, n = (marks.field(f).to_numpy(zero_copy_only=False) for f in ("anchor", "first", "n"))
                 low = units[owner] + first
                 begin, end = starts[low], ends[low + n + kind.length - 2]
                 raw = data.tobytes()
@@ -120,44 +123,119 @@ def cut(docs: DataFrame, marks: DataFrame, kind: Kind) -> DataFrame:
                     content = [b" ".join(c.split()) for c in content]
                 rows = pa.array(owner + a)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(anchor), ids.take(rows), hashes.take(rows), pa.array(first.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(hot), pa.array(content, pa.binary())],
-                    ["anchor", "doc_id", "h", "first", "n", "hot", "content"],
+                    [pa.array(anchor), ids.take(rows), hashes.take(rows), pa.array(first.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(content, pa.binary())],
+                    list(_ROWS),
                 )
 
     return joined.mapInArrow(run, _CUT)
 
 
+_SPANS = "doc_id bigint, h bigint, first int, n int"
+_ROWS = ("anchor", "doc_id", "h", "first", "n", "content")
+
+
+def collapse(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """The earliest of rows with equal content, with their number as weight, and the runs of all others.
+
+    Rows at the same place of the same id are all earliest.
+    """
+    rows = stored(rows.select(*_ROWS).withColumn("digest", F.sha2("content", 256)), name)
+    order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("first").alias("at"))
+    counts = stored(rows.groupBy("digest").agg(F.min(order).alias("low"), F.count(F.lit(1)).alias("weight")), f"{name}-counts")
+    both = rows.join(counts, "digest")
+    lowest = F.col("doc_id").eqNullSafe(F.col("low.id")) & (F.col("first") == F.col("low.at"))
+    return both.where(lowest).select(*_ROWS, "weight", "digest"), both.where(~lowest).select("doc_id", "h", "first", "n")
+
+
+def split_windows(regions: DataFrame, kind: Kind) -> DataFrame:
+    """Every window of the regions as a row of its own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.column("n").to_numpy()
+            data, offsets = tk.flat(batch.column("content"))
+            for a, b in tk.chunks(offsets, tk.CHUNK_BYTES // 8):
+                part = data[offsets[a] : offsets[b]]
+                starts, ends, units = unit_spans(kind, part, offsets[a : b + 1] - offsets[a])
+                owner, step = tk.ragged(n[a:b])
+                low = units[owner] + step
+                raw = part.tobytes()
+                content = [raw[x:y] for x, y in zip(starts[low].tolist(), ends[low + kind.length - 1].tolist())]
+                rows = batch.take(pa.array(owner + a))
+                first = pa.array((rows.column("first").to_numpy() + step).astype(np.int32))
+                one = pa.array(np.ones(len(owner), np.int32))
+                yield pa.RecordBatch.from_arrays([rows.column("anchor"), rows.column("doc_id"), rows.column("h"), first, one, pa.array(content, pa.binary())], list(_ROWS))
+
+    return regions.select(*_ROWS).mapInArrow(run, "anchor bigint, doc_id bigint, h bigint, first int, n int, content binary")
+
+
+def near_marked(docs: DataFrame, marks: DataFrame) -> DataFrame:
+    """The documents that may have a hot region, before they are shuffled: a filter of ``FILTER_BITS`` hashed bits.
+
+    It has a fixed size and lets every marked document through; the more documents are marked, the more others pass.
+    """
+    place = F.pmod("h", F.lit(FILTER_BITS))
+    hot = marks.where(F.exists("marks", lambda m: m["hot"])).select(F.floor(place / 63).alias("word"), (place % 63).cast("int").alias("bit"))
+    words = hot.groupBy("word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits")).toPandas()
+    table = np.zeros(FILTER_BITS // 63 + 1, np.int64)
+    table[words["word"].to_numpy()] = words["bits"].to_numpy()
+    shared = docs.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column("h").to_numpy() % FILTER_BITS
+            yield batch.filter(pa.array((shared.value[at // 63] >> (at % 63) & 1).astype(bool)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def repeated_windows(docs: DataFrame, kind: Kind, match: Callable[[pa.Table], pa.Table]) -> DataFrame:
     """doc_id, h, first, n: runs of windows that ``match`` reports.
 
     ``match`` gets the rows of a shard (doc_id, h, first, n, weight, content) and returns runs (doc_id, h, first, n) of
-    them. A hot window comes in once, as its earliest row with its number of occurrences as weight; what is reported
-    of it (n windows of its own, or -1 if only its later occurrences are meant) is joined back to all its occurrences.
+    them. Both operators remove every occurrence of a repeated window but at most the earliest, so occurrences that
+    ``collapse`` leaves out need no further look.
+
+    Regions are not stored: the caller's join of the runs with the documents is then part of one query with the cut,
+    and Spark shuffles the texts once for both.
     """
     marks = stored(shared_marks(docs, kind), "marks")
-    regions = stored(cut(docs, marks, kind), "regions")
-    totals = regions.groupBy("hot").agg(F.sum(F.col("n") + kind.length), F.count(F.lit(1)))
+    totals = marks.select(F.explode("marks").alias("m")).groupBy("m.hot").agg(F.sum(F.col("m.n") + kind.length))
     by_heat = {r[0]: r[1] for r in totals.collect()}
-    spans = "doc_id bigint, h bigint, first int, n int"
+
+    def regions(heat: bool, texts: DataFrame) -> DataFrame:
+        mine = marks.withColumn("marks", F.filter("marks", lambda m: m["hot"] == heat))
+        return cut(texts, mine.where(F.size("marks") > 0), kind)
 
     def dealt(rows: DataFrame, by: str, units: int) -> DataFrame:
         shards = max(1, -(-units // kind.shard_units))
         sharded = rows.select(F.pmod(F.xxhash64(by), F.lit(shards)).alias("shard"), "doc_id", "h", "first", "n", "weight", "content")
-        return sharded.groupBy("shard").applyInArrow(lambda t: match(t.drop_columns(["shard"])), spans)
+        return sharded.groupBy("shard").applyInArrow(lambda t: match(t.drop_columns(["shard"])), _SPANS)
+
+    def units(rows: DataFrame) -> int:
+        return rows.agg(F.sum(F.col("n") + kind.length)).first()[0] or 0
 
-    cold = dealt(regions.where("NOT hot").withColumn("weight", F.lit(1).cast("bigint")), "anchor", by_heat.get(False, 0))
+    cold = dealt(regions(False, docs).withColumn("weight", F.lit(1).cast("bigint")), "anchor", by_heat.get(False, 0))
     if True not in by_heat:
         return cold
-    hot = regions.where("hot").withColumn("digest", F.sha2("content", 256))
-    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "first", "h")
-    distinct = hot.groupBy("digest").agg(F.min(order).alias("low"), F.count(F.lit(1)).alias("weight"), F.min("content").alias("content"))
-    distinct = stored(distinct.select("digest", "low.doc_id", "low.first", "low.h", F.lit(1).alias("n"), "weight", "content"), "hot-windows")
-    found = dealt(distinct, "digest", by_heat[True]).select(F.col("doc_id").alias("f_id"), F.col("h").alias("f_h"), F.col("first").alias("f_first"), F.col("n").alias("own"))
-    same = F.col("doc_id").eqNullSafe(F.col("f_id")) & (F.col("h") == F.col("f_h")) & (F.col("first") == F.col("f_first"))
-    chosen = distinct.join(found, same).select("digest", F.col("doc_id").alias("f_id"), F.col("first").alias("f_first"), "own")
-    all_of = hot.select("digest", "doc_id", "h", "first").join(chosen, "digest")
-    lowest = F.col("doc_id").eqNullSafe(F.col("f_id")) & (F.col("first") == F.col("f_first"))
-    return cold.unionByName(all_of.where((F.col("own") > 0) | ~lowest).select("doc_id", "h", "first", F.lit(1).alias("n")))
+    leads, others = collapse(regions(True, near_marked(docs, marks)), "hot-regions")
+    leads = stored(leads, "leads")
+    counts = stored(leads.groupBy("anchor").agg(F.count(F.lit(1)).alias("regions")), "lead-counts")
+    leads = leads.join(counts, "anchor")
+    few = leads.where(F.col("regions") <= kind.hot)
+    spans = cold.unionByName(others).unionByName(dealt(few, "anchor", units(few)))
+    if counts.where(F.col("regions") > kind.hot).isEmpty():
+        return spans
+    # A lead that stands for several regions is repeated whole where ``match`` says so of its weight: keep the weight.
+    many = leads.where(F.col("regions") > kind.hot)
+    copied = many.where("weight > 1").select(*_ROWS, "weight")
+    windows, other_windows = collapse(split_windows(many, kind), "hot-windows")
+    weights = split_windows(copied, kind).select("doc_id", "h", "first", F.lit(1).alias("copied"))
+    same = ["doc_id", "h", "first"]
+    keys = [F.col(f"w.{c}").eqNullSafe(F.col(f"c.{c}")) for c in same]
+    windows = windows.alias("w").join(weights.alias("c"), keys, "left").select("w.*", F.coalesce("copied", F.lit(0)).alias("copied"))
+    windows = windows.withColumn("weight", F.col("weight") + F.col("copied"))
+    return spans.unionByName(other_windows).unionByName(dealt(windows, "digest", units(windows)))
 
 
 def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:

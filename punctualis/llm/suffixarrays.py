@@ -28,7 +28,7 @@ from punctualis.llm import textkit as tk
 from punctualis.llm.fmindex import keyed
 from punctualis.llm.shared import table
 
-KIND = rg.Kind(words=False, length=100, gram=28, hot=20_000, shard_units=2_000_000)
+KIND = rg.Kind(words=False, length=100, gram=28, hot=40_000, shard_units=2_000_000)
 BATCH = 1 << 15
 
 
@@ -65,14 +65,13 @@ _SPANS = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("first", pa.int3
 
 
 def match_shard(rows: pa.Table, length: int = KIND.length, batch: int | None = None) -> pa.Table:
-    """Runs of windows that start earlier, of the regions of one shard; -1 windows where only the copies counted in a weight do."""
+    """Runs of windows that start earlier, of the regions of one shard (copies counted in a weight are not rows of it)."""
     batch = batch or BATCH
     rows = rows.sort_by([("doc_id", "ascending"), ("first", "ascending"), ("h", "ascending")])
     content = rows.column("content").combine_chunks()
     doc, first, n = (rows.column(c).to_numpy() for c in ("doc_id", "first", "n"))
     missing = pc.is_null(rows.column("doc_id")).to_numpy()
     doc = np.where(missing, 0, doc).astype(np.int64)
-    weight = rows.column("weight").to_numpy()
     # Regions with equal bytes are worked off once, at the first of them; a later one starts earlier in all its windows
     # unless it stands at the very same place of the same id.
     coded = pc.dictionary_encode(content)
@@ -118,12 +117,9 @@ def match_shard(rows: pa.Table, length: int = KIND.length, batch: int | None = N
     t_row, t_step = tk.ragged(by_lead[lead[tied]])
     t_at = begins[lead[tied][t_row]] + t_step
     whole = np.flatnonzero(~leader & ~same_place)
-    own = np.zeros(len(which), bool)
-    own[row] = True
-    only_copies = np.flatnonzero((weight > 1) & ~own & leader)
-    out_row = np.concatenate([row, tied[t_row], whole, only_copies])
-    out_first = np.concatenate([first[row] + step, first[tied[t_row]] + step[t_at], first[whole], first[only_copies]])
-    out_n = np.concatenate([length_of, length_of[t_at], n[whole], np.full(len(only_copies), -1)])
+    out_row = np.concatenate([row, tied[t_row], whole])
+    out_first = np.concatenate([first[row] + step, first[tied[t_row]] + step[t_at], first[whole]])
+    out_n = np.concatenate([length_of, length_of[t_at], n[whole]])
     taken = rows.take(pa.array(out_row, pa.int64()))
     return pa.Table.from_arrays([taken.column("doc_id").combine_chunks(), taken.column("h").combine_chunks(), pa.array(out_first.astype(np.int32)), pa.array(out_n.astype(np.int32))], schema=_SPANS)
 
