@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from punctualis.llm.shared import new_folder, table
+from punctualis.llm.shared import new_folder, stored, table
 
 MAGIC = b"\x1f\x8b\x08"
 EMPTY_MEMBER = bytes.fromhex("1f8b08000000000000ff03000000000000000000")
@@ -37,13 +37,15 @@ _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
 def with_revisits(pages: DataFrame, least_bytes: int = REVISIT_BYTES) -> DataFrame:
     """Digest and length of each payload, and ``refers_to`` for later records with an equal payload.
 
-    Copies are counted by a pre-aggregated group; only digests that occur twice or more are joined back, by a merge
-    join whose large partitions Spark can split, so a payload shared by a third of all pages is no single task.
+    Copies are counted by a pre-aggregated group; only digests that occur twice or more are stored and joined back,
+    by a merge join straight over two shuffles, whose large partitions Spark can split: a payload shared by a third of
+    all pages is no single task.
     """
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
     rows = pages.select("page_id", "url", payload.alias("payload"), F.octet_length(payload).cast("bigint").alias("n"), F.sha2(payload, 256).alias("digest"))
     copies = rows.where(F.col("n") >= least_bytes).groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("records"))
-    joined = rows.join(copies.where("records > 1").select("digest", "first_id"), "digest", "left")
+    copies = stored(copies.where("records > 1").select("digest", "first_id"), "copies")
+    joined = rows.join(copies, "digest", "left")
     return joined.withColumn("refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("first_id")), F.col("first_id"))).drop("first_id")
 
 
