@@ -23,7 +23,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later similar lines go, and documents that consist of nothing else; ``n_chars`` follows the text."""
-    left = linededup.remove_lines(docs)
+    left = linededup.remove_lines(docs, least=linededup.EVERY_LINE)
     return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else left
 
 

@@ -12,8 +12,9 @@
 5. A line goes if a line before it (smaller id, or same text and further up) is in its class or linked to its class.
    Lines are judged on the input.
 
-Defined results: lines of fewer than ``least`` distinct words always stay (so do blank ones); words are compared with ASCII
-letters lower-cased; NULL text has no line; NULL ids come after all others; rows that repeat each other with one id
+Defined results: op2 and the pipeline compare every line that holds a word (``least`` = 1), so short lines go when their
+word set came before; a caller may name a floor, and lines of fewer than ``least`` distinct words then always stay. Blank
+lines stay; words are compared with ASCII letters lower-cased; NULL text has no line; NULL ids come after all others; rows that repeat each other with one id
 count as one and stay; an empty table gives an empty result; further columns stay.
 """
 
@@ -32,7 +33,7 @@ from punctualis.llm.components import components
 from punctualis.llm.fmindex import keyed
 from punctualis.llm.shared import fresh, stored, table
 
-PERCENT, LEAST = 80, 5
+PERCENT, LEAST, EVERY_LINE = 80, 5, 1
 BUCKETS = 1 << 17
 SHARD_RECORDS, BLOCK, DENSE_GROUP = 400_000, 2048, 256
 _SECOND = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -89,7 +90,8 @@ def digests(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def prefix_length(size: np.ndarray, percent: int) -> np.ndarray:
-    return size - -(-percent * size // 100) + 1
+    """Words in the prefix; none where even one word more or less is too far, so only equal sets are similar."""
+    return np.where(100 * size >= percent * (size + 1), size - -(-percent * size // 100) + 1, 0)
 
 
 def _ints(values: np.ndarray) -> pa.Array:
@@ -189,7 +191,7 @@ def prefix_records(docs: DataFrame, counts: np.ndarray, shards: int, percent: in
                 records["token"] = tk.mix(hashes[sets[owner] + place]) >> np.uint64(32)
                 records["node"], records["bits"], records["size"], records["place"] = node[owner], bits[owner], sizes[owner], place
                 parts.append(records)
-            if parts:
+            if any(len(part) for part in parts):
                 records = np.concatenate(parts)
                 shard = records["token"] % np.uint32(shards)
                 order = np.argsort(shard, kind="stable")
@@ -348,7 +350,8 @@ def judged_lines(docs: DataFrame, percent: int = PERCENT, least: int = LEAST) ->
     lines = scanned.select("doc_id", "h", F.explode("lines").alias("l")).select("doc_id", "h", "l.*")
     rep = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "line", "h")
     classes = stored(lines.groupBy("hi", "lo").agg(F.min(rep).alias("rep"), F.max("n").alias("n")), "classes")
-    records = classes.agg(F.sum(F.col("n") - F.ceil(percent * F.col("n") / 100) + 1)).first()[0] or 0
+    linkable = classes.where(100 * F.col("n") >= percent * (F.col("n") + 1))
+    records = linkable.agg(F.sum(F.col("n") - F.ceil(percent * F.col("n") / 100) + 1)).first()[0] or 0
     shards = int(max(1, -(-records // SHARD_RECORDS)))
     packed = prefix_records(docs, bucket_counts(docs, least), shards, percent, least)
     links = packed.groupBy("shard").applyInArrow(lambda t: shard_links(t, percent), "a bigint, b bigint")
@@ -400,7 +403,7 @@ def remove_lines(docs: DataFrame, percent: int = PERCENT, least: int = LEAST) ->
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document its lines with class, number of links to other classes and verdict."""
-    judged = judged_lines(table(spark, sf_dir, "documents"))
+    judged = judged_lines(table(spark, sf_dir, "documents"), least=EVERY_LINE)
     removed = F.filter("lines", lambda x: x["removed"])
     return judged.select(
         "doc_id", "n_lines", F.size("lines").cast("bigint").alias("n_compared"), F.size(removed).cast("bigint").alias("n_removed"),

@@ -55,3 +55,42 @@ def test_removal_keeps_columns_and_first_lines(spark):
     assert not any(d == 2 for d, _ in got)  # a copy goes as a whole
     assert ld.remove_lines(empty(spark)).count() == 0
     assert ld.judged_lines(empty(spark)).count() == 0
+
+
+SHORT = [
+    (1, "one two three four\none two three four five\n}\nyes no"), (2, "}\nNO yes\none two three\n漢字漢字"), (3, "漢字漢字\n}\none two three four five six\nfour three two one"),
+    (4, "one two three five\nno\n \n}"), (5, "one two three four five\none two three six\nsix"),
+]
+
+
+def test_short_lines_are_compared(spark, monkeypatch):
+    expected = _judged(SHORT, least=1)
+    df = spark.createDataFrame(SHORT, "doc_id bigint, text string")
+    got = {r.doc_id: [(x.line, x.links, x.removed) for x in r.lines] for r in ld.judged_lines(df, least=ld.EVERY_LINE).collect()}
+    assert got == {d: v for (d, _), v in expected.items()}
+    monkeypatch.setattr(ld, "table", lambda *_: df)
+    query = {r.doc_id: (r.n_compared, r.n_removed) for r in ld.op2_line_dedup(spark, "").collect()}
+    assert query == {d: (len(v), sum(x[2] for x in v)) for (d, _), v in expected.items()}
+
+
+def test_pipeline_stage_removes_short_lines(spark):
+    import corpus_pipeline as cp
+
+    df = spark.createDataFrame(SHORT, "doc_id bigint, text string")
+    judged = _judged(SHORT, least=1)
+    want = {}
+    for doc_id, text in SHORT:
+        gone = {n for n, _, removed in judged[doc_id, text] if removed}
+        left = "\n".join(x for n, x in enumerate(text.split("\n")) if n not in gone)
+        if not gone or words_of(left):
+            want[doc_id] = left
+    assert {r.doc_id: r.text for r in cp.line_dedup(spark, df, "").collect()} == want
+
+
+def test_awkward_lines_of_any_length(spark):
+    rows = awkward_rows()
+    expected = _judged(rows, least=1)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    texts = {(r.doc_id, r.h): r.text for r in ld.keyed(df).collect()}
+    for r in ld.judged_lines(df, least=1).collect():
+        assert [(x.line, x.links, x.removed) for x in r.lines] == expected.get((r.doc_id, texts[r.doc_id, r.h]), [])
