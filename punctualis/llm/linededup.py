@@ -6,7 +6,8 @@
 3. Lines that reach similarity t share a word among the first n - ceil(t n) + 1 of both (prefix filter). The prefix words
    are dealt to shards by word; in a shard, pairs must pass the length and the positional filter and a bitmap filter
    (the words' 256-bit masks differ in no more bits than the sets may differ in words). Each shard hands on only
-   spanning links of what passes, never its pairs.
+   spanning links of what passes, never its pairs. Prefix records are counted by word first: a word with more than
+   ``HOT_RECORDS`` is split into blocks by line, which meet in pairs, a task (word, x, y) each.
 4. Components of the forests are families; no similar pair lies across two. The full word sets of each family meet
    in blocks of at most ``BLOCK`` lines, where all links are verified and counted by Jaccard similarity.
 5. A line goes if a line before it (smaller id, or same text and further up) is in its class or linked to its class.
@@ -35,7 +36,7 @@ from punctualis.llm.shared import fresh, stored, table
 
 PERCENT, LEAST, EVERY_LINE = 80, 5, 1
 BUCKETS = 1 << 17
-SHARD_RECORDS, BLOCK, DENSE_GROUP = 400_000, 2048, 256
+SHARD_RECORDS, HOT_RECORDS, BLOCK, DENSE_GROUP = 400_000, 20_000, 2048, 256
 _SECOND = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -167,39 +168,84 @@ def unpack(blob: bytes) -> np.ndarray:
     return records
 
 
-def prefix_records(docs: DataFrame, counts: np.ndarray, shards: int, percent: int, least: int) -> DataFrame:
-    """shard, records: the prefix words of the lines, packed. A class comes once per batch, however often it occurs."""
-    shared = docs.sparkSession.sparkContext.broadcast(counts)  # BUCKETS counts
+def _prefixes(batch: pa.RecordBatch, counts: np.ndarray, percent: int, least: int) -> np.ndarray:
+    """The prefix records of the lines of a batch. A class comes once, however often it occurs."""
+    data, offsets = tk.flat(batch.column("text"))
+    parts, seen = [np.zeros(0, _RECORD)], np.zeros(0, np.int64)
+    for a, b in tk.chunks(offsets):
+        _, _, sets, hashes = line_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], least, counts)
+        if len(sets) < 2:
+            continue
+        _, node = digests(hashes, sets)
+        new = np.zeros(len(node), bool)
+        new[np.unique(node, return_index=True)[1]] = True
+        new &= ~np.isin(node, seen)
+        seen = np.concatenate([seen, node[new]])
+        sizes = np.diff(sets)
+        owner, place = tk.ragged(np.where(new, prefix_length(sizes, percent), 0))
+        bits = masks(hashes, sets)
+        records = np.empty(len(owner), _RECORD)
+        records["token"] = tk.mix(hashes[sets[owner] + place]) >> np.uint64(32)
+        records["node"], records["bits"], records["size"], records["place"] = node[owner], bits[owner], sizes[owner], place
+        parts.append(records)
+    return np.concatenate(parts)
+
+
+def hot_tokens(docs: DataFrame, counts: np.ndarray, percent: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words with more than HOT_RECORDS prefix records, sorted, and their numbers of blocks.
+
+    The counts are pre-aggregated; the driver receives the hot words only, at most one per HOT_RECORDS records. A class
+    that comes in several batches is counted in each, which can only make the blocks smaller.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = tk.flat(batch.column("text"))
-            parts, seen = [], np.zeros(0, np.int64)
-            for a, b in tk.chunks(offsets):
-                _, _, sets, hashes = line_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], least, shared.value)
-                if len(sets) < 2:
-                    continue
-                _, node = digests(hashes, sets)
-                bits = masks(hashes, sets)
-                fresh = np.zeros(len(node), bool)
-                fresh[np.unique(node, return_index=True)[1]] = True
-                fresh &= ~np.isin(node, seen)
-                seen = np.concatenate([seen, node[fresh]])
-                sizes = np.diff(sets)
-                owner, place = tk.ragged(np.where(fresh, prefix_length(sizes, percent), 0))
-                records = np.empty(len(owner), _RECORD)
-                records["token"] = tk.mix(hashes[sets[owner] + place]) >> np.uint64(32)
-                records["node"], records["bits"], records["size"], records["place"] = node[owner], bits[owner], sizes[owner], place
-                parts.append(records)
-            if any(len(part) for part in parts):
-                records = np.concatenate(parts)
-                shard = records["token"] % np.uint32(shards)
-                order = np.argsort(shard, kind="stable")
-                numbers, firsts = np.unique(shard[order], return_index=True)
-                blobs = [pack(x) for x in np.split(records[order], firsts[1:])]
-                yield pa.RecordBatch.from_arrays([_ints(numbers), pa.array(blobs, pa.binary())], ["shard", "records"])
-
-    return docs.select("text").mapInArrow(run, "shard int, records binary")
+            tokens, n = np.unique(_prefixes(batch, shared.value, percent, least)["token"], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(tokens.astype(np.int64)), pa.array(n.astype(np.int64))], ["token", "n"])
+
+    sums = docs.select("text").mapInArrow(run, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
+    hot = sums.where(F.col("n") > HOT_RECORDS).toPandas().sort_values("token")
+    return hot["token"].to_numpy(np.uint32), -(-hot["n"].to_numpy(np.int64) // HOT_RECORDS)
+
+
+def prefix_records(docs: DataFrame, counts: np.ndarray, hot: tuple[np.ndarray, np.ndarray], shards: int, percent: int, least: int) -> DataFrame:
+    """shard, block, blocks, records: the prefix words of the lines, packed.
+
+    Shards from 0 on hold many words; a hot word has a negative shard of its own and a block by the line's digest.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((counts, *hot))  # BUCKETS counts and the hot words
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, tokens, blocks = shared.value
+        tokens, blocks = np.r_[tokens, np.uint32(0)].astype(np.uint32), np.r_[blocks, 1].astype(np.int64)
+        for batch in batches:
+            records = _prefixes(batch, counts, percent, least)
+            if not len(records):
+                continue
+            at = np.searchsorted(tokens[:-1], records["token"])
+            at[tokens[at] != records["token"]] = len(tokens) - 1
+            is_hot = at < len(tokens) - 1
+            shard = np.where(is_hot, -1 - records["token"].astype(np.int64), records["token"] % np.uint32(shards))
+            block = (tk.mix(records["node"].view(np.uint64)) % blocks[at].astype(np.uint64)).astype(np.int64)
+            order = np.lexsort((block, shard))
+            records, shard, block, of = records[order], shard[order], block[order], blocks[at][order]
+            firsts = np.flatnonzero(np.r_[True, (shard[1:] != shard[:-1]) | (block[1:] != block[:-1])])
+            blobs = [pack(x) for x in np.split(records, firsts[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(shard[firsts]), pa.array(block[firsts]), pa.array(of[firsts]), pa.array(blobs, pa.binary())], ["shard", "block", "blocks", "records"])
+
+    return docs.select("text").mapInArrow(run, "shard bigint, block bigint, blocks bigint, records binary")
+
+
+def deal(packed: DataFrame) -> DataFrame:
+    """The packed records by task (shard, x, y): block b meets the blocks 0 .. blocks - 1, itself once.
+
+    ``side`` is 0 where a block meets itself, else 1 for the records of x and 2 for those of y.
+    """
+    others = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
+    met = packed.withColumn("other", others).withColumn("x", F.least("block", "other")).withColumn("y", F.greatest("block", "other"))
+    side = F.when(F.col("x") == F.col("y"), 0).when(F.col("block") == F.col("x"), 1).otherwise(2)
+    return met.select("shard", "x", "y", side.alias("side"), "records")
 
 
 def _passes(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
@@ -226,36 +272,47 @@ def _near(a: np.ndarray, b: np.ndarray, columns: tuple, percent: int) -> tuple[n
     return a, b
 
 
-def _forest(records: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links between the members of one large word group, each new one against those not yet reached only."""
+def _forest(records: np.ndarray, sides: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links between the members of one large word group, each new one against those not yet reached only.
+
+    Members of the same side other than 0 meet in another task.
+    """
     left, froms, tos = np.arange(1, len(records)), [], []
     queue = [0]
     while len(left):
         if not queue:
             queue, left = [int(left[0])], left[1:]
         at = queue.pop()
-        hit = _passes(np.broadcast_to(records[at], len(left)), records[left], percent)
+        meets = np.flatnonzero((sides[left] != sides[at]) | (sides[left] == 0))
+        others = left[meets]
+        hit = _passes(np.broadcast_to(records[at], len(others)), records[others], percent)
         froms.append(np.full(hit.sum(), at))
-        tos.append(left[hit])
-        queue.extend(left[hit].tolist())
-        left = left[~hit]
+        tos.append(others[hit])
+        queue.extend(others[hit].tolist())
+        left = np.delete(left, meets[hit])
+        if sides[at] and not len(queue) and len(left) and (sides[left] == sides[left[0]]).all():
+            break  # one side is used up
     return np.concatenate(froms), np.concatenate(tos)
 
 
 def shard_links(blobs: pa.Table, percent: int) -> pa.Table:
-    records = np.concatenate([unpack(blob) for blob in blobs.column("records").to_pylist()])
-    records = records[np.lexsort((records["node"], records["size"], records["token"]))]
+    parts = [unpack(blob) for blob in blobs.column("records").to_pylist()]
+    sides = np.repeat(blobs.column("side").to_numpy(), [len(part) for part in parts])
+    records = np.concatenate(parts)
+    order = np.lexsort((records["node"], records["size"], records["token"]))
+    records, sides = records[order], sides[order]
     same = (records["token"][1:] == records["token"][:-1]) & (records["node"][1:] == records["node"][:-1])
-    records = records[np.r_[True, ~same]] if len(records) else records
+    records, sides = (x[np.r_[True, ~same]] if len(records) else x for x in (records, sides))
     edges = np.r_[0, np.flatnonzero(records["token"][1:] != records["token"][:-1]) + 1, len(records)]
     sizes = np.diff(edges)
     left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     # In groups up to DENSE_GROUP, sorted by size, each member meets those before it that are long enough.
+    dense = (sizes <= DENSE_GROUP) & (sides[edges[:-1]] == 0) if len(records) else np.zeros(len(sizes), bool)
     group = np.repeat(np.arange(len(sizes)), sizes)
     size = records["size"].astype(np.int64)
     key = group << 32 | size
     lowest = np.searchsorted(key, group << 32 | -(-percent * size // 100))
-    partners = np.where(sizes[group] <= DENSE_GROUP, np.arange(len(records)) - lowest, 0)
+    partners = np.where(dense[group], np.arange(len(records)) - lowest, 0)
     columns = size, records["place"].astype(np.int64), [np.ascontiguousarray(records["bits"][:, w]) for w in range(MASK_WORDS)]
     busy = np.flatnonzero(partners)
     for part in np.array_split(busy, max(1, int(partners.sum()) // 500_000)):
@@ -264,8 +321,8 @@ def shard_links(blobs: pa.Table, percent: int) -> pa.Table:
         a, b = _near(a, lowest[a] + step, columns, percent)
         left.append(a)
         right.append(b)
-    for group in np.flatnonzero(sizes > DENSE_GROUP):
-        a, b = _forest(records[edges[group] : edges[group + 1]], percent)
+    for group in np.flatnonzero(~dense & (sizes > 1)):
+        a, b = _forest(records[edges[group] : edges[group + 1]], sides[edges[group] : edges[group + 1]], percent)
         left.append(a + edges[group])
         right.append(b + edges[group])
     a, b = records["node"][np.concatenate(left)], records["node"][np.concatenate(right)]
@@ -353,8 +410,9 @@ def judged_lines(docs: DataFrame, percent: int = PERCENT, least: int = LEAST) ->
     linkable = classes.where(100 * F.col("n") >= percent * (F.col("n") + 1))
     records = linkable.agg(F.sum(F.col("n") - F.ceil(percent * F.col("n") / 100) + 1)).first()[0] or 0
     shards = int(max(1, -(-records // SHARD_RECORDS)))
-    packed = prefix_records(docs, bucket_counts(docs, least), shards, percent, least)
-    links = packed.groupBy("shard").applyInArrow(lambda t: shard_links(t, percent), "a bigint, b bigint")
+    counts = bucket_counts(docs, least)
+    packed = prefix_records(docs, counts, hot_tokens(docs, counts, percent, least), shards, percent, least)
+    links = deal(packed).groupBy("shard", "x", "y").applyInArrow(lambda t: shard_links(t, percent), "a bigint, b bigint")
     families = stored(components(links), "families")
     sizes = families.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
     families = families.join(sizes, "component").select(F.col("node").alias("lo"), F.col("component").alias("family"), F.ceil(F.col("members") / BLOCK).alias("blocks"))

@@ -94,3 +94,31 @@ def test_awkward_lines_of_any_length(spark):
     texts = {(r.doc_id, r.h): r.text for r in ld.keyed(df).collect()}
     for r in ld.judged_lines(df, least=1).collect():
         assert [(x.line, x.links, x.removed) for x in r.lines] == expected.get((r.doc_id, texts[r.doc_id, r.h]), [])
+
+
+def _templated(n):
+    """Lines of one template (ten words, two vary) and groups of similar ones among them."""
+    rows = [(k, " ".join([*"tpl0 tpl1 tpl2 tpl3 tpl4 tpl5 tpl6 tpl7".split(), f"a{k}", f"b{k % 7}" if k % 3 else f"c{k}"])) for k in range(n)]
+    return rows + [(1000 + k, f"{text} tail") for k, text in rows[::4]]
+
+
+def test_hot_words_are_split_into_tasks(spark, monkeypatch):
+    limit = 12
+    monkeypatch.setattr(ld, "HOT_RECORDS", limit)
+    rows = _templated(60)
+    df = ld.keyed(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    counts = ld.bucket_counts(df, 1)
+    hot = ld.hot_tokens(df, counts, 80, 1)
+    assert len(hot[0]) and (hot[1] > 1).all()
+    tasks = {}
+    for r in ld.deal(ld.prefix_records(df, counts, hot, 1, 80, 1)).collect():
+        if r.shard < 0:
+            records = ld.unpack(r.records)
+            tasks.setdefault((r.shard, r.x, r.y), []).append(len(records))
+            assert len(set(records["token"])) == 1
+    assert len(tasks) > 3 * len(hot[0])
+    assert max(sum(v) for v in tasks.values()) < 5 * limit < len(rows)  # a word of all lines is no single task
+    expected = _judged(rows, least=1)
+    got = {r.doc_id: [(x.line, x.links, x.removed) for x in r.lines] for r in ld.judged_lines(df.drop("h"), least=1).collect()}
+    assert got == {d: v for (d, _), v in expected.items()}
+    assert any(x[1] for v in got.values() for x in v)
