@@ -6,7 +6,7 @@ hundredth of its training letters; a word counts only for languages that use its
 words of a text with a penalty per change of language; the path gives the spans, the document gets the language
 with the most letters, and the score is its share of the letters.
 
-The model is fitted on at most ``sample`` texts per language, those with the smallest content hash (a documented
+The model is fitted on at most ``sample`` different texts per language, those with the smallest content hash (a documented
 bound, so it is a few MB whatever the corpus); everything else covers every text, whole.
 
 Defined results: NULL text or no letter gives ``und`` with score 0 and no span; words without a letter take the
@@ -123,17 +123,18 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def training_sample(labelled: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """At most ``sample`` texts of each language, those with the smallest content hash; texts decide, not ids.
+    """At most ``sample`` different texts of each language, those with the smallest content hash; texts decide, not ids.
 
-    Only rows whose hash lies under a bound computed from the language's row count go on to the ranking, so the
-    shuffle holds a few times ``sample`` texts per language. The counts, one per language, go through the driver.
+    Copies count once. Only rows whose hash lies under a bound computed from the language's number of different hashes
+    go on to the ranking, so the shuffle holds a few times ``sample`` texts per language; copies are merged before it. The
+    counts, one per language, go through the driver.
     """
     rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text", F.xxhash64("text").alias("h"))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = {r["lang"]: r["n"] for r in rows.select("lang", "h").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     bounds = {lang: int(min(1.0, 4.0 * sample / n) * (1 << 64)) - (1 << 63) - 1 for lang, n in counts.items()}
     bound = F.element_at(F.create_map(*(F.lit(x) for pair in bounds.items() for x in pair)), F.col("lang")) if bounds else F.lit(0)
     rank = F.row_number().over(W.Window.partitionBy("lang").orderBy("h", "text"))
-    return rows.where(F.col("h") <= bound).withColumn("__rank", rank).where(F.col("__rank") <= sample).select("lang", "text")
+    return rows.where(F.col("h") <= bound).distinct().withColumn("__rank", rank).where(F.col("__rank") <= sample).select("lang", "text")
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE, penalty: float = PENALTY) -> Model:

@@ -73,3 +73,10 @@ def test_sample_bound(spark):
     rows = [("a", f"text {i}") for i in range(400)] + [("b", "one"), (None, "x"), ("a", None)]
     got = langid.training_sample(spark.createDataFrame(rows, "lang string, text string"), sample=10).groupBy("lang").count().collect()
     assert {r.lang: r["count"] for r in got} == {"a": 10, "b": 1}
+
+
+def test_sample_counts_texts_not_copies(spark):
+    rows = [("a", f"text {i}") for i in range(300)] + [("a", "copy")] * 20_000 + [("b", "same")] * 1000 + [("b", "other")] * 1000
+    got = langid.training_sample(spark.createDataFrame(rows, "lang string, text string"), sample=50).collect()
+    assert len(got) == len({(r.lang, r.text) for r in got})
+    assert sorted(r.lang for r in got) == ["a"] * 50 + ["b"] * 2
