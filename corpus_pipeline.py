@@ -9,16 +9,16 @@ from pyspark.sql import functions as F
 
 from punctualis.llm import decontaminate as benchmarks
 from punctualis.llm import langid, linededup, minhash, packing
-from punctualis.llm.shared import stored, table
+from punctualis.llm.shared import fresh, stored, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Learn languages from the labelled rows; texts without a letter of any language go."""
+    """Learn languages from the labelled rows; only texts without a letter go, also where no row is labelled."""
     model = langid.fit(docs.select("lang", "text"))
-    new = [c for c in ("lang_pred", "lang_score", "lang_spans") if c in docs.columns]
-    if new:
-        raise ValueError(f"documents already have {new}")
-    return langid.identify(docs, model).where("lang_pred <> 'und'").select(docs.columns)
+    if not model.languages:
+        return langid.with_letters(docs)
+    new = tuple(fresh(docs, name) for name in langid.OUTPUT)
+    return langid.identify(docs, model, new=new).where(F.size(new[2]) > 0).select(docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

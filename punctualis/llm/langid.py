@@ -226,14 +226,31 @@ def label(batch_texts: pa.Array, model: Model):
     return pa.array(names, pa.string()), pa.array(score, pa.float64()), pa.ListArray.from_arrays(pa.array(span_offsets), spans)
 
 
-def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """All columns of the documents with ``lang_pred``, ``lang_score`` and ``lang_spans``."""
+def with_letters(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The documents whose text has a letter, all columns; no model is needed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, offsets = tk.flat(batch.column(text))
+            for a, b in tk.chunks(offsets, 4 << 20):
+                part = batch.slice(a, b - a)
+                codes, ends = _codes(pc.fill_null(part.column(text), ""))
+                letters = np.concatenate([[0], np.cumsum(code_tables()[0][codes])])
+                yield part.filter(pa.array(letters[ends[1:]] > letters[ends[:-1]]))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+OUTPUT = ("lang_pred", "lang_score", "lang_spans")
+
+
+def identify(docs: DataFrame, model: Model, text: str = "text", new: tuple[str, str, str] = OUTPUT) -> DataFrame:
+    """All columns of the documents with language, score and spans under the names ``new``."""
     from pyspark.sql import types as T
 
-    new = ("lang_pred", "lang_score", "lang_spans")
     docs = docs.drop(*new)
     names = docs.columns
-    schema = T.StructType([*docs.schema.fields, *T._parse_datatype_string("lang_pred string, lang_score double, lang_spans array<struct<lang:string,first_word:bigint,words:bigint>>").fields])
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(n, T._parse_datatype_string(t)) for n, t in zip(new, ("string", "double", "array<struct<lang:string,first_word:bigint,words:bigint>>")))])
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS x languages floats
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

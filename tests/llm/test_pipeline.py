@@ -1,5 +1,7 @@
 import collections
 
+from pyspark.sql import functions as F
+
 from punctualis.llm.shared import stored, table
 from tests.llm import fixtures as fx
 from tests.llm.test_decontaminate import _plain, _tiling
@@ -63,3 +65,14 @@ def test_stages_take_empty_tables_and_awkward_rows(spark):
             if name != cp.STAGES[-1][0]:
                 assert docs.columns == before.columns
             docs.count()
+
+
+def test_language_stage_without_labels_and_with_taken_names(spark):
+    import corpus_pipeline as cp
+
+    rows = [(1, "a clean text", None), (2, "12 34 !", None), (3, None, None), (4, "漢字", None), (5, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").selectExpr("*", "'x' AS lang_pred", "1 AS lang_score", "2 AS lang_spans")
+    for given in (docs, docs.withColumn("lang", F.when(F.col("doc_id") == 1, "en")), docs.withColumn("lang", F.when(F.col("doc_id") == 1, "und"))):
+        left = cp.language_id(spark, given, SF)
+        assert left.columns == given.columns
+        assert {tuple(r) for r in left.collect()} == {tuple(r) for r in given.collect() if r.doc_id in (1, 4)}
