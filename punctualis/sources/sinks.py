@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -117,19 +117,33 @@ def with_day(df: DataFrame, ts: str = "load_timestamp") -> DataFrame:
     return df.withColumn("d", F.to_date(ts))
 
 
+def row_hash(df: DataFrame, names: Sequence[str]) -> Column:
+    """Hash of a row over the named columns; absent ones are NULL. NULL flags keep (NULL, 1) and (1, NULL) apart."""
+    kinds = {f.name.lower(): f.dataType for f in df.schema.fields}
+    cols = []
+    for name in names:
+        kind, col = kinds.get(name.lower()), F.col(f"`{name}`")
+        nested = isinstance(kind, (T.StructType, T.ArrayType, T.MapType))
+        cols.append(F.lit(None) if kind is None else F.to_json(F.struct(col)) if nested else col)
+    return F.xxhash64(*cols, *(c.isNull() for c in cols))
+
+
 def changed_days(src: DataFrame, done: DataFrame) -> DataFrame:
-    """Rows of ``src`` on days (column ``d``) that ``done`` holds with another number of rows, or not at all.
+    """Rows of ``src`` on days (column ``d``) that ``done`` holds with other rows, or not at all.
 
-    A day without a time (NULL) is a day like any other.
+    Days are compared by their number of rows and the sum of the row hashes, whatever the order of the rows. A day
+    without a time (NULL) is a day like any other.
     """
-    count = lambda df, name: df.groupBy("d").agg(F.count(F.lit(1)).alias(name))
-    had = count(done.select("d"), "_had").withColumnRenamed("d", "_d")
-    days = count(src, "_has").join(had, F.col("d").eqNullSafe(F.col("_d")), "left").filter(~F.col("_has").eqNullSafe(F.col("_had")))
+    names = [c for c in src.columns if c != "d"]
+    total = lambda df: F.struct(F.count(F.lit(1)), F.sum(row_hash(df, names).cast("decimal(20,0)")))
+    state = lambda df, name: df.groupBy("d").agg(total(df).alias(name))
+    had = state(done, "_had").withColumnRenamed("d", "_d")
+    days = state(src, "_has").join(had, F.col("d").eqNullSafe(F.col("_d")), "left").filter(~F.col("_has").eqNullSafe(F.col("_had")))
     return src.join(days.select(F.col("d").alias("_d")), F.col("d").eqNullSafe(F.col("_d")), "left_semi")
 
 
 def export_daily(df: DataFrame, path: str, ts: str = "load_timestamp") -> None:
-    """One partition per calendar day; days that gained rows since the last export are written again as a whole.
+    """One partition per calendar day; days whose rows changed since the last export are written again as a whole.
 
     Rows without a time have a partition of their own, so nothing is left out.
     """
@@ -189,7 +203,7 @@ def load_parquet(spark: SparkSession, path: str, target: T.StructType) -> DataFr
 def load_missing_dates(src: DataFrame, tgt: DataFrame, ts: str = "load_timestamp") -> DataFrame:
     """Source rows the target does not have yet, each as often as it is missing.
 
-    Days with as many rows in both are taken as loaded; the others are compared row by row, so rows that come later
+    Days with equal rows in both (count and hashes) are taken as loaded; the others are compared row by row, so rows that come later
     for a loaded day, and rows without a time, are loaded once.
     """
     pending = changed_days(with_day(src, ts), with_day(tgt, ts))

@@ -1,4 +1,5 @@
 import csv
+import datetime
 import json
 import zipfile
 
@@ -245,3 +246,17 @@ def test_delays_csv_round_trip(spark, tmp_path, sf_dir):
     sinks.write_csv(delays, str(tmp_path / "d"))
     back = tables.read_delays_csv(spark, str(tmp_path / "d"))
     assert back.dtypes == delays.dtypes and back.exceptAll(delays).count() == 0 and back.count() == delays.count()
+
+
+def test_days_with_equal_counts_are_compared_by_content(spark, tmp_path):
+    schema = "load_timestamp timestamp_ntz, a int, b int, tags array<string>"
+    make = lambda *rows: spark.createDataFrame([(datetime.datetime(2024, 1, day), a, b, ["x"]) for day, a, b in rows], schema)
+    old = make((1, 1, 1), (1, 2, 2), (2, 3, 3), (3, None, 5))
+    new = make((1, 1, 1), (1, 9, 9), (2, 3, 3), (3, 5, None))
+    rows = lambda df: sorted(((r.load_timestamp.day, r.a, r.b) for r in df.collect()), key=repr)
+    assert rows(sinks.load_missing_dates(new, old)) == [(1, 9, 9), (3, 5, None)]
+    path = str(tmp_path / "daily")
+    sinks.export_daily(old, path)
+    assert rows(sinks.changed_days(sinks.with_day(old), spark.read.parquet(path))) == []
+    sinks.export_daily(new, path)
+    assert rows(spark.read.parquet(path)) == rows(new)
