@@ -130,6 +130,8 @@ add("a18_kruskal", lambda f: rounded(st.kruskal_by(f.delays(), "delay", _KF).dro
 add("a18_kruskal_p", lambda f: rounded(st.kruskal_by(f.delays(), "delay", ["mode", "stop_sequence"]).select("feature", "groups", "p"), "p", digits=8),
     f"""SELECT feature, groups, round(exp(-h / 2) * (SELECT sum((h / 2) ** k / gamma(k + 1)) FROM range(((groups - 1) // 2)::BIGINT) t(k)), 8) AS p
         FROM ({_kruskal_sql(["mode", "stop_sequence"], 12)})""")
+# All features, also routes with an odd number of degrees of freedom; no finite sum in SQL, a test integrates the tail.
+add("a18_kruskal_p_all", lambda f: rounded(st.kruskal_by(f.delays(), "delay", _KF).select("feature", "groups", "p"), "p", digits=8))
 add("a19_density", lambda f: rounded(st.kde(f.delays(), "delay", 50), "x", "density", digits=8),
     """SELECT point::INTEGER AS point, round(x, 8) AS x, round(sum(exp(-0.5 * ((x - delay) / h) ** 2)) / (any_value(n) * any_value(h) * sqrt(2 * pi())), 8) AS density
        FROM (SELECT unnest(range(50)) AS point, min(delay) + unnest(range(50)) * (max(delay) - min(delay))::DOUBLE / 49 AS x, count(delay) AS n,

@@ -167,3 +167,23 @@ def test_scd2_null_keys_and_older_loads(spark):
     assert sorted(map(str, older.collect())) == sorted(map(str, changed.collect()))
     up = scd2.upsert(first, load("2024-01-06", [(None, "A", "u")]), ["k", "m"])
     assert sorted(r.v for r in up.collect()) == ["u", "y", "z"]
+
+
+def test_kruskal_p_of_every_feature(spark, sf_dir):
+    import math
+
+    from catalogue import statistics
+
+    def tail(h, dof, steps=40_000):
+        """Simpson's rule over the density of the chi-square distribution."""
+        a, low = dof / 2, h / 2
+        width = (200 + 20 * a) / steps
+        density = lambda z: math.exp((a - 1) * math.log(z) - z - math.lgamma(a)) if z > 0 else 0.0
+        return width / 3 * sum((1 if i in (0, steps) else 4 if i % 2 else 2) * density(low + i * width) for i in range(steps + 1))
+
+    h = {r.feature: (r.groups, r.h) for r in statistics.QUERIES["a18_kruskal"](spark, sf_dir).collect()}
+    p = {r.feature: (r.groups, r.p) for r in statistics.QUERIES["a18_kruskal_p_all"](spark, sf_dir).collect()}
+    assert set(p) == {"mode", "route_short_name", "stop_sequence"}
+    for feature, (groups, value) in p.items():
+        assert groups == h[feature][0]
+        assert abs(value - tail(h[feature][1], groups - 1)) < 2e-5
