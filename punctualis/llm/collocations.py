@@ -38,8 +38,8 @@ STOP = np.zeros(256, bool)
 STOP[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 BREAK = STOP.copy()
 BREAK[[0x20, 0x09]] = True
-SHARD_BYTES = 32 << 20
-FLUSH_WORDS = 4_000_000
+SHARD_BYTES = 16 << 20
+FLUSH_WORDS = 1_500_000
 FILTER_BITS = 26
 _CHUNK_BITS = 16
 _LONG_WORD = 64
