@@ -39,7 +39,7 @@ STOP[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 BREAK = STOP.copy()
 BREAK[[0x20, 0x09]] = True
 SHARD_BYTES = 16 << 20
-FLUSH_WORDS = 1_500_000
+FLUSH_WORDS = 1_000_000
 FILTER_BITS = 26
 _CHUNK_BITS = 16
 _LONG_WORD = 64
