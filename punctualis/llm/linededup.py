@@ -34,7 +34,7 @@ from punctualis.llm.components import components
 from punctualis.llm.fmindex import keyed
 from punctualis.llm.shared import fresh, stored, table
 
-PERCENT, LEAST, EVERY_LINE = 80, 5, 1
+PERCENT, LEAST, EVERY_LINE = 80, 1, 1
 BUCKETS = 1 << 17
 SHARD_RECORDS, HOT_RECORDS, BLOCK, DENSE_GROUP = 400_000, 20_000, 2048, 256
 _SECOND = np.uint64(0xC2B2AE3D27D4EB4F)
