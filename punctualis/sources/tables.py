@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,13 @@ def adhoc_select(spark: SparkSession, text: str, limit: int | None = None) -> Da
     return result if limit is None else result.limit(limit)
 
 
+def literal_rows(spark: SparkSession, schema: str, rows: list[tuple]) -> DataFrame:
+    """A relation written out as a union of one-row selects of typed literals."""
+    fields = [part.split() for part in schema.split(", ")]
+    selects = [spark.range(1).select(*[F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(row, fields)]) for row in rows]
+    return reduce(DataFrame.union, selects)
+
+
 def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
     """Names and kinds of the tables of a database, by name."""
     rows = [(t.name, t.tableType, bool(t.isTemporary)) for t in spark.catalog.listTables(database)]

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from punctualis.operators.dedup import latest_per_key
+from punctualis.plans.incremental import update_marts
+from punctualis.sources import committed
 from punctualis.sources.json_feeds import traffic_records
 from punctualis.sources.realtime import decode_trip_updates, decode_vehicle_positions, with_file_facts
-from punctualis.sources.sinks import read_or_none
 
 BINARY = "path string, modificationTime timestamp, length long, content binary"
 DECODERS = {"trip_updates": decode_trip_updates, "vehicle_positions": decode_vehicle_positions}
@@ -60,30 +60,65 @@ def stream_traffic(
     return writer.trigger(**(trigger or {"processingTime": "1 hour"})).start()
 
 
-def stream_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Newest row per key as running state (update mode), equal to the batch result over the log."""
+def stream_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str], event_time: str | None = None, lateness: str = "1 day", span: str = "1 day") -> DataFrame:
+    """Newest row per key as running state (update mode), equal to the batch result over the log.
+
+    With an ``event_time`` the keys hold within a ``span`` of it (a key of another day is another key), and state ends once no row of the
+    span can come any more: rows up to ``lateness`` behind the newest event still win or lose by ``order``, later
+    ones are left out and counted by the query. State is then bounded by the keys of ``lateness`` and one span.
+    """
     payload = [c for c in df.columns if c not in keys]
     newest = F.max_by(F.struct(*payload), F.struct(*order))
-    return df.groupBy(*keys).agg(newest.alias("_row")).select(*keys, "_row.*")
+    if event_time is None:
+        return df.groupBy(*keys).agg(newest.alias("_row")).select(*keys, "_row.*")
+    timed = df.withColumn("_event", F.col(event_time).cast("timestamp")).withWatermark("_event", lateness)
+    return timed.groupBy(*keys, F.window("_event", span)).agg(newest.alias("_row")).select(*keys, "_row.*")
+
+
+def stream_to_table(df: DataFrame, path: str, checkpoint: str, name: str, part: str | None = None, ts: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """Append each micro-batch to a committed table, once: a repeated batch is known by the stream's name and its number."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        committed.append(batch, path, part=part, ts=ts, batch=(name, batch_id))
+
+    return _each(df, write, checkpoint, trigger)
 
 
 def stream_latest_table(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], partition: str, path: str, checkpoint: str, trigger: dict | None = None
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], path: str, checkpoint: str, name: str = "latest", trigger: dict | None = None
 ) -> StreamingQuery:
-    """Keep a table, partitioned by one of the keys, with the newest row per key.
+    """Keep a committed table with the newest row per key, whatever comes late.
 
-    A micro-batch reads and rewrites only the partitions it touches.
+    A micro-batch writes only the files again that hold one of its keys; a crash leaves the table before or after a batch.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        rank = [F.col(c).desc() for c in order]
-        known = read_or_none(batch.sparkSession, path)
-        rows = batch
-        if known is not None:
-            touched = known.join(batch.select(partition).distinct(), partition, "left_semi")
-            rows = touched.select(*batch.columns).unionByName(batch)
-        writer = latest_per_key(rows, keys, rank).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(partition).parquet(path)
-
-    writer = df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(merge)
+        committed.merge_latest(batch, path, keys, order, batch=(name, batch_id))
+
+    return _each(df, merge, checkpoint, trigger)
+
+
+def stream_latest_state(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], event_time: str, path: str, checkpoint: str, lateness: str = "1 day", span: str = "1 day", name: str = "state", trigger: dict | None = None
+) -> StreamingQuery:
+    """The table of ``stream_latest`` with bounded state: only keys whose newest row changed reach the table."""
+    names = df.columns
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        committed.merge_latest(batch.select(names), path, keys, order, batch=(name, batch_id))
+
+    return _each(stream_latest(df, keys, order, event_time, lateness, span), merge, checkpoint, trigger, "update")
+
+
+def stream_marts(updates: DataFrame, schedule: Callable[[SparkSession], DataFrame], root: str, checkpoint: str, name: str = "marts", trigger: dict | None = None) -> StreamingQuery:
+    """Delay mart and sums after every micro-batch of trip updates (``plans/incremental.py``)."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        update_marts(batch, schedule(batch.sparkSession), root, (name, batch_id))
+
+    return _each(updates, write, checkpoint, trigger)
+
+
+def _each(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, trigger: dict | None, mode: str = "append") -> StreamingQuery:
+    writer = df.writeStream.option("checkpointLocation", checkpoint).outputMode(mode).foreachBatch(write)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
