@@ -43,7 +43,7 @@ def update_marts(updates: DataFrame, schedule: DataFrame, root: str, batch: tupl
     ct.append(updates.withColumn("d", local), f"{root}/log", part="d", batch=batch)
     runs = touched_runs(updates)
     days = runs.select(parse_date("event_date").alias("_day")).distinct()
-    days = days.select(F.explode(F.array(*[F.date_add("_day", n) for n in (-1, 0, 1)])).cast("string").alias("part")).distinct()
+    days = days.select(F.explode(F.array(*[F.date_add("_day", n).cast("string") for n in (-1, 0, 1)])).alias("part")).distinct()
     log = ct.read(spark, f"{root}/log", days).drop("d").join(runs.select("trip_id", "mode").distinct(), ["trip_id", "mode"], "left_semi")
     new = build_delays(log.select(updates.columns), schedule.join(runs, RUN, "left_semi"))
     if ct.current(spark, f"{root}/mart") is None:
