@@ -11,9 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from punctualis.operators.joins import with_scalar
-
-SPLITS = 256  # a power of two
+CHUNK_VALUES = 100_000
 
 
 def sessionize_resets(
@@ -52,25 +50,36 @@ def sessionize_resets(
     )
 
 
+def cut_evenly(counted: DataFrame, value: str) -> DataFrame:
+    """Cut every ``_chunk`` into parts that keep the order of its values, about ``CHUNK_VALUES`` rows each.
+
+    A chunk of n rows is cut into n / ``CHUNK_VALUES`` parts of equal width between its least and its greatest finite value, first
+    by logarithm, which spreads long tails, then every part by its own rows and ends on the plain scale. Cuts follow from
+    counts and ends alone, so a repeated task cuts alike. Infinite values have parts of their own.
+    """
+    v = F.col(value).cast("double") / 2  # so that no width overflows
+    for scaled in (F.signum(v) * F.log1p(F.abs(v)), v):
+        finite = F.when(F.abs(v) < float("inf"), scaled)  # NaN is above infinity
+        ends = counted.groupBy("_chunk").agg(F.ceil(F.count(F.lit(1)) / CHUNK_VALUES).alias("_parts"), F.min(finite).alias("_lo"), F.max(finite).alias("_hi"))
+        width = F.col("_hi") - F.col("_lo")
+        inside = F.least(F.col("_parts") - 1, F.floor((scaled - F.col("_lo")) / F.when(width > 0, width) * F.col("_parts")))
+        part = F.when(finite.isNull(), F.when(v < 0, -1).otherwise(F.col("_parts"))).otherwise(F.coalesce(inside, F.lit(0)))
+        counted = counted.join(ends, "_chunk", "inner").withColumn("_chunk", F.struct("_chunk", part.cast("long").alias("_no"))).drop("_parts", "_lo", "_hi")
+    return counted
+
+
 def cumulative_counts(df: DataFrame, value: str, groups: Sequence[str] = (), weight: str | None = None) -> DataFrame:
     """Distinct values per group with ``cnt`` rows, ``below`` rows under them and ``total`` rows.
 
-    NULL values are left out. Equal values are merged before the shuffle; the distinct values of a
-    group are then ordered in up to ``SPLITS`` chunks at approximate quantiles of the group.
+    NULL values are left out. Equal values are merged before the shuffle; the distinct values of a group are then ordered in
+    chunks of about ``CHUNK_VALUES``, so their number follows the data.
     """
     groups = list(groups)
     rows = F.count(F.lit(1)) if weight is None else F.sum(weight)
     counted = df.filter(F.col(value).isNotNull()).groupBy(*groups, value).agg(rows.alias("cnt"))
     # struct keys compare NULL parts as equal, so no row is lost in the joins
     counted = counted.withColumn("_grp", F.struct(*groups, F.lit(0).alias("_all")))
-
-    points = [i / SPLITS for i in range(1, SPLITS)]
-    found = F.percentile_approx(value, points, 4 * SPLITS).alias("_cuts")
-    counted = counted.join(counted.groupBy("_grp").agg(found), "_grp", "inner") if groups else with_scalar(counted, counted.agg(found))
-    # binary search: how many cuts lie below the value
-    steps = F.array(*[F.lit(SPLITS >> i) for i in range(1, SPLITS.bit_length())])
-    chunk = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get("_cuts", at + step - 1) < F.col(value), at + step).otherwise(at))
-    counted = counted.withColumn("_chunk", F.struct("_grp", chunk.alias("_no"))).drop("_cuts")
+    counted = cut_evenly(counted.withColumn("_chunk", F.struct("_grp")), value)
 
     sizes = counted.groupBy("_chunk", "_grp").agg(F.sum("cnt").alias("_size"))
     whole = Window.partitionBy("_grp")

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -63,9 +64,24 @@ def test_sessions_equal_plain_loop(spark, chunk):
     assert sorted(rows(got), key=key) == sorted(want, key=key)
 
 
-def test_cumulative_counts_and_quantiles_against_numpy(spark):
-    import numpy as np
+@pytest.mark.parametrize("shape", ["even", "crowded", "far apart"])
+def test_chunks_follow_the_data(spark, monkeypatch, shape):
+    """Chunks stay near their size at ten times the data, keep the order, and NaN and infinity come last."""
+    monkeypatch.setattr(prefix, "CHUNK_VALUES", 50)
+    pick = np.random.default_rng(8)
+    for n in (400, 4000):
+        values = {"even": pick.permutation(n) - n / 2, "crowded": pick.lognormal(0, 2, n), "far apart": np.r_[pick.permutation(n) * 1e-3, 1e300, -1e308]}[shape]
+        values = [*values.tolist(), float("nan"), float("inf"), float("-inf")]
+        df = spark.createDataFrame([(x,) for x in values], "v double")
+        got = prefix.cumulative_counts(df, "v").collect()
+        order = sorted(values, key=lambda x: (x != x, x))
+        assert sorted((r.below for r in got)) == list(range(len(values)))
+        assert all(order[r.below] == r.v or r.v != r.v and r.below == len(values) - 1 for r in got) and {r.total for r in got} == {len(values)}
+        cut = prefix.cut_evenly(df.select("v", F.struct(F.lit(0)).alias("_chunk")), "v").groupBy("_chunk").count()
+        assert cut.agg(F.max("count")).first()[0] <= 50 * 4 and cut.count() >= n / 50 / 2
+
 
+def test_cumulative_counts_and_quantiles_against_numpy(spark):
     rng = random.Random(1)
     data = [("hot", rng.gauss(0, 5)) for _ in range(3000)] + [("few", float(v)) for v in (1, 1, 2)] + [(None, 7.0), ("few", None)]
     df = spark.createDataFrame(data, "g string, v double")
