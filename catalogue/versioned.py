@@ -10,9 +10,17 @@ from catalogue.stored import _KEPT, folder
 from catalogue.tables_sql import sql
 from punctualis.functions.geo import wkt_point
 from punctualis.functions.times import epoch_to_local
+from punctualis.operators.joins import join_asof
+from punctualis.operators.prefix import sessionize_resets
+from punctualis.operators.stats import polygon_centroid
+from punctualis.plans import report as rp
+from punctualis.plans.delays import build_delays
 from punctualis.plans.incremental import mean_delay
+from punctualis.plans.schedule import build_trips_schedule
 from punctualis.sources import committed as ct
 from punctualis.sources import tables as tb
+from punctualis.sources.gtfs_static import read_gtfs_static
+from punctualis.sources.json_feeds import read_geojson
 from punctualis.streaming import loads as st
 
 QUERIES = {}
@@ -125,6 +133,71 @@ add("u4_union_of_literals", lambda f: tb.literal_rows(f.spark, "d int, name stri
        UNION ALL SELECT 5, 'Friday' UNION ALL SELECT 6, 'Saturday' UNION ALL SELECT 0, 'Sunday') LEFT JOIN (SELECT dayofweek(o_orderdate) AS d, count(*) AS cnt FROM orders GROUP BY 1) USING (d)""", derived=False)
 
 
+# operators over rows that they have to remove, and histories of many versions
+
+
+def _repeated_stops(f: Feed):
+    """Stop times in which every second stop is visited again, later in the trip."""
+    again = f.stop_times().filter("stop_sequence % 2 = 0").withColumns({"stop_sequence": F.col("stop_sequence") + 100, "arrival_time": F.lit("27:59:00")})
+    return f.stop_times().unionByName(again)
+
+
+add("w2_first_visit_stays", lambda f: build_trips_schedule(_repeated_stops(f), f.trips(), f.stops(), f.routes_scd2(), f.expanded_calendar()), "SELECT * FROM schedule")
+
+
+def _with_older(f: Feed):
+    """Session rows, each with an older one that has more delay, and with one of the same time that has less."""
+    found = sessionize_resets(f.delay_mart())
+    older = found.withColumns({"load_timestamp": F.col("load_timestamp") - F.expr("INTERVAL 1 SECOND"), "delay": F.col("delay") + 5})
+    return found.unionByName(older).unionByName(found.withColumn("delay", F.col("delay") - 1))
+
+
+add("w10_newest_then_most_delayed", lambda f: rp.latest_in_session(_with_older(f)).select("trip_id", "session_id", "stop_sequence", "mode", "stop_id", "delay", "load_timestamp"),
+    "SELECT trip_id, session_id, stop_sequence, mode, stop_id, delay, load_timestamp FROM session_latest")
+add("pf3_left_out_mode", lambda f: build_delays(*(df.unionByName(df.withColumn("mode", F.lit("TR"))) for df in (f.trip_updates(), f.schedule()))), "SELECT * FROM delay_mart")
+
+
+def _history(f: Feed):
+    """A version per line and moment of an event, which holds for at most an hour."""
+    starts = f.delays().groupBy("route_short_name", F.col("actual_arrival").alias("valid_from")).agg(F.max("stop_name").alias("held_by"))
+    return starts.withColumn("valid_to", F.col("valid_from") + F.expr("INTERVAL 1 HOUR"))
+
+
+add("j2_asof_history", lambda f: join_asof(f.delays().select("trip_id", "route_short_name", (F.col("actual_arrival") + F.expr("INTERVAL 55 MINUTE")).alias("asked")), _history(f), ["route_short_name"], "asked")
+    .select("trip_id", "route_short_name", "asked", "valid_from", "held_by"),
+    """SELECT f.trip_id, f.route_short_name, f.asked, h.valid_from, h.held_by FROM (SELECT trip_id, route_short_name, actual_arrival + INTERVAL 55 MINUTE AS asked FROM delays) f
+       ASOF JOIN (SELECT route_short_name, actual_arrival AS valid_from, max(stop_name) AS held_by FROM delays GROUP BY 1, 2) h
+       ON f.route_short_name = h.route_short_name AND f.asked >= h.valid_from WHERE f.asked < h.valid_from + INTERVAL 1 HOUR""")
+
+
+def static_folders(f: Feed):
+    """Stops of each feed written as a text folder and read back as one table."""
+    root = folder(f, "feeds")
+    stops = f.stops().filter("load_timestamp = timestamp_ntz'2024-01-01'")
+    for mode in "AMT":
+        stops.filter(F.col("mode") == mode).drop("mode", "load_timestamp").write.option("header", True).csv(f"{root}/{mode}/stops.txt")
+    return read_gtfs_static(f.spark, {mode: f"{root}/{mode}" for mode in "AMT"}, "2024-01-01")["stops"].select("stop_id", "stop_code", "stop_name", "stop_desc", "stop_lat", "stop_lon", "mode", "load_timestamp")
+
+
+add("src1_static_folders", static_folders,
+    "SELECT DISTINCT stop_id, stop_code, stop_name, stop_desc, stop_lat, stop_lon, mode, load_timestamp FROM stops WHERE load_timestamp = TIMESTAMP '2024-01-01'")
+
+
+def geojson_centroids(f: Feed):
+    """A square around every stop, without its last point, written as feature collections and read back; centroids of the rings."""
+    path, x, y = folder(f, "geojson"), F.col("stop_lon"), F.col("stop_lat")
+    ring = F.array(*[F.array(x + a, y + b) for a, b in ((-0.5, -0.5), (0.5, -0.5), (0.5, 0.5), (-0.5, 0.5))])
+    feature = F.struct(F.lit("Feature").alias("type"), F.struct(F.col("stop_id").alias("name")).alias("properties"),
+                       F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"))
+    stops = f.stops().select("stop_id", "stop_lon", "stop_lat").distinct()
+    files = stops.groupBy(F.pmod(F.xxhash64("stop_id"), F.lit(4)).alias("file")).agg(F.to_json(F.struct(F.collect_list(feature).alias("features"))).alias("value"))
+    files.repartition(4, "file").write.partitionBy("file").text(path)
+    return polygon_centroid(read_geojson(f.spark, path))
+
+
+add("src7_geojson_centroids", geojson_centroids, "SELECT DISTINCT stop_id AS name, round(stop_lat, 6) AS latitude, round(stop_lon, 6) AS longitude FROM stops")
+
+
 # streams over rows written in several files
 
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -17,6 +18,34 @@ def join_scd2(fact: DataFrame, dim: DataFrame, keys: Sequence[str], ts: str) ->
     return fact.alias("f").join(dim.alias("d"), cond, "inner").select("f.*", *extra)
 
 
+def join_asof(fact: DataFrame, versions: DataFrame, keys: Sequence[str], ts: str, chunk: str = "day", salts: int = 8) -> DataFrame:
+    """The version that started last at or before ``ts``, where it has not ended: linear in facts and versions, however long a history is.
+
+    Equal to ``join_scd2`` where the versions of a key do not overlap; of overlapping ones the last started, of those that start
+    together the one that ends last. Facts with a NULL key or time match nothing. Facts are cut by ``chunk`` of
+    time and salted; what holds at the start of a chunk is found once per key from its versions and chunk starts alone.
+    """
+    given = [F.col(k).isNotNull() for k in keys]
+    extra = [c for c in versions.columns if c not in fact.columns]
+    key, end = F.struct(*keys).alias("_key"), F.coalesce("valid_to", F.lit("9999-12-31").cast("timestamp_ntz")).alias("_end")
+    payload = F.struct("valid_from", "valid_to", *[F.col(c) for c in extra if c not in ("valid_from", "valid_to")])
+    start = lambda c: F.date_trunc(chunk, c).cast("timestamp_ntz").alias("_chunk")
+    known = versions.filter(reduce(Column.__and__, given)).select(key, F.col("valid_from").alias("_at"), end, payload.alias("_v"))
+    facts = fact.filter(reduce(Column.__and__, [*given, F.col(ts).isNotNull()])).select(key, F.col(ts).cast("timestamp_ntz").alias("_at"), F.struct(*fact.columns).alias("_f"))
+    facts = facts.withColumn("_chunk", start("_at"))
+    none = F.lit(None)
+    # What holds at the start of each chunk, before any version inside it.
+    marks = facts.select("_key", "_chunk").distinct().select("_key", F.col("_chunk").alias("_at"), none.cast("timestamp_ntz").alias("_end"), none.cast(known.schema["_v"].dataType).alias("_v"), F.lit(1).alias("_kind"))
+    last = lambda w: F.last("_v", ignorenulls=True).over(w.orderBy("_at", "_kind", "_end").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    carried = known.withColumn("_kind", F.lit(0)).unionByName(marks).withColumn("_v", last(Window.partitionBy("_key")))
+    carried = carried.filter("_kind = 1 AND _v IS NOT NULL").select("_key", F.col("_at").alias("_chunk"), "_at", F.col("_v.valid_to").alias("_end"), "_v", F.lit(-1).alias("_kind"))
+    inside = known.select("_key", start("_at"), "_at", "_end", "_v", F.lit(0).alias("_kind"))
+    held = carried.unionByName(inside).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).withColumn("_f", none.cast(facts.schema["_f"].dataType))
+    asked = facts.withColumns({"_end": none.cast("timestamp_ntz"), "_v": none.cast(known.schema["_v"].dataType), "_kind": F.lit(1), "_salt": F.pmod(F.xxhash64("_f"), F.lit(salts)).cast("int")})
+    met = held.unionByName(asked).withColumn("_v", last(Window.partitionBy("_key", "_chunk", "_salt"))).filter("_kind = 1 AND _v IS NOT NULL")
+    return met.filter(F.col("_v.valid_to").isNull() | (F.col("_at") < F.col("_v.valid_to"))).select("_f.*", *[F.col(f"_v.{c}").alias(c) for c in extra])
+
+
 def match_midnight(
     updates: DataFrame,
     schedule: DataFrame,

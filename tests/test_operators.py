@@ -64,6 +64,33 @@ def test_sessions_equal_plain_loop(spark, chunk):
     assert sorted(rows(got), key=key) == sorted(want, key=key)
 
 
+def test_asof_join_over_a_long_history(spark):
+    """Ten thousand versions of one route, gaps and open ends, against a binary search; overlaps against the definition."""
+    import bisect
+    from datetime import datetime, timedelta
+
+    pick, zero = random.Random(4), datetime(2024, 1, 1)
+    starts = sorted(pick.sample(range(3_000_000), 10_000))
+    versions = [("hot", zero + timedelta(seconds=s), zero + timedelta(seconds=e if pick.random() < 0.9 else (s + e) / 2) if e else None, n) for n, (s, e) in enumerate(zip(starts, [*starts[1:], None]))]
+    versions += [("over", zero, None, -1), ("over", zero + timedelta(days=1), zero + timedelta(days=3), -2), ("over", zero + timedelta(days=1), zero + timedelta(days=2), -3), (None, zero, None, -4)]
+    facts = [("hot", zero + timedelta(seconds=pick.randrange(-1000, 3_100_000)), i) for i in range(3000)] + [("over", zero + timedelta(hours=12 * h), 5000 + h) for h in range(8)]
+    facts += [(None, zero, 1), ("hot", None, 2), ("none", zero, 3), facts[0]] + [("hot", versions[7][1], 4)]
+    v = spark.createDataFrame(versions, "k string, valid_from timestamp_ntz, valid_to timestamp_ntz, n int")
+    f = spark.createDataFrame(facts, "k string, ts timestamp_ntz, id int")
+    want, hot = [], [x[1] for x in versions[:10_000]]
+    for k, t, i in facts:
+        if k == "hot" and t is not None and (at := bisect.bisect_right(hot, t) - 1) >= 0 and (versions[at][2] is None or t < versions[at][2]):
+            want.append((i, versions[at][3]))
+        if k == "over":
+            want += [(i, -1)] if t < zero + timedelta(days=1) else [(i, -2)] if t < zero + timedelta(days=3) else []
+    got = joins.join_asof(f, v, ["k"], "ts")
+    assert got.columns == ["k", "ts", "id", "valid_from", "valid_to", "n"]
+    assert sorted((r.id, r.n) for r in got.collect()) == sorted(want)
+    single = v.filter("k = 'hot' AND n >= 9000")
+    late = f.filter("k = 'hot'")
+    assert sorted(rows(joins.join_asof(late, single, ["k"], "ts", "hour", 2)), key=str) == sorted(rows(joins.join_scd2(late, single, ["k"], "ts")), key=str)
+
+
 @pytest.mark.parametrize("shape", ["even", "crowded", "far apart"])
 def test_chunks_follow_the_data(spark, monkeypatch, shape):
     """Chunks stay near their size at ten times the data, keep the order, and NaN and infinity come last."""
