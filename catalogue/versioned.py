@@ -11,6 +11,7 @@ from catalogue.tables_sql import sql
 from punctualis.functions.geo import wkt_point
 from punctualis.functions.times import epoch_to_local
 from punctualis.operators.joins import join_asof
+from punctualis.operators.nearest import nearest_of_many
 from punctualis.operators.prefix import sessionize_resets
 from punctualis.operators.stats import polygon_centroid
 from punctualis.plans import report as rp
@@ -170,6 +171,20 @@ add("j2_asof_history", lambda f: join_asof(f.delays().select("trip_id", "route_s
        ON f.route_short_name = h.route_short_name AND f.asked >= h.valid_from WHERE f.asked < h.valid_from + INTERVAL 1 HOUR""")
 
 
+def _shops(f: Feed):
+    """A centre per customer, scattered around the stops."""
+    k = F.col("c_custkey")
+    return f.raw("customer").select(F.concat(F.lit("C"), k.cast("string")).alias("centre"), (F.lit(49.9) + (k * 7919 % 30011) / F.lit(100000.0)).alias("lat"), (F.lit(19.7) + (k * 104729 % 60013) / F.lit(100000.0)).alias("lon"))
+
+
+add("w5_nearest_of_many", lambda f: nearest_of_many(f.stops().select("stop_id", F.col("stop_lat").alias("lat"), F.col("stop_lon").alias("lon")).distinct(), _shops(f), 16)
+    .select("stop_id", "centre", F.round("distance_m", 3).alias("distance_m")),
+    """SELECT stop_id, centre, round(2 * 6371008.8::DOUBLE * d, 3) AS distance_m FROM (SELECT DISTINCT stop_id, stop_lat AS lat, stop_lon AS lon FROM stops) s,
+       LATERAL (SELECT centre, asin(sqrt(pow(sin(radians(c.lat - s.lat) / 2), 2) + cos(radians(s.lat)) * cos(radians(c.lat)) * pow(sin(radians(c.lon - s.lon) / 2), 2))) AS d
+                FROM (SELECT 'C' || c_custkey AS centre, 49.9 + (c_custkey * 7919 % 30011) / 100000.0 AS lat, 19.7 + (c_custkey * 104729 % 60013) / 100000.0 AS lon FROM customer) c
+                ORDER BY d, centre LIMIT 1)""")
+
+
 def static_folders(f: Feed):
     """Stops of each feed written as a text folder and read back as one table."""
     root = folder(f, "feeds")

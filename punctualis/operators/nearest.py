@@ -95,3 +95,75 @@ def _leaves(centres: DataFrame, leaf_centres: int) -> DataFrame:
             F.collect_list(F.struct("lat", "lon", "centre")).alias("members"),
         )
     )
+
+
+STEP = 4  # levels of the quadtree that a descent takes at once
+
+
+def nearest_of_many(points: DataFrame, centres: DataFrame, leaf_centres: int = LEAF_CENTRES) -> DataFrame:
+    """As ``nearest``, for any number of centres: leaves hold at most ``leaf_centres`` of them, whatever their number.
+
+    Points descend a quadtree of which every ``STEP``-th level is used, one join per level. Of the children of its nodes a point keeps
+    those that may be nearer than the farthest corner of the best child, so it carries a few nodes and never a list of
+    all. Nodes with few centres are leaves and wait; the last join meets their members. Centres of one place count once.
+    """
+    centres = centres.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull()).groupBy("lat", "lon").agg(F.min("centre").alias("centre"))
+    tree = _levels(centres)
+    is_leaf = (F.col("_n") <= leaf_centres) | (F.col("_depth") == TREE_DEPTH)
+    box = F.struct(F.struct("_depth", "_x", "_y").alias("node"), is_leaf.alias("leaf"), "lo", "hi")
+    up = lambda c: F.floor(F.col(c) / (1 << STEP)).cast("long")
+    parents = F.struct((F.col("_depth") - STEP).cast("int").alias("_depth"), up("_x").alias("_x"), up("_y").alias("_y"))
+    families = tree.filter(F.col("_depth") > 0).groupBy("_depth", parents.alias("_node")).agg(F.collect_list(box).alias("_boxes"))
+
+    root = F.struct(F.lit(0).alias("_depth"), F.lit(0).cast("long").alias("_x"), F.lit(0).cast("long").alias("_y"))
+    where = points.select("lat", "lon").dropna().distinct().withColumn("_p", F.array(*_unit_vector(F.col("lat"), F.col("lon"))))
+    found = where.withColumns({"_open": F.array(root), "_reach": F.lit(9.0), "_leaves": F.array().cast("array<struct<node:struct<_depth:int,_x:bigint,_y:bigint>,near:double>>")})
+
+    def bound(b: Column, near: bool) -> Column:
+        total = F.lit(0.0)
+        for i in range(3):
+            p, lo, hi = F.col("_p")[i], b["lo"][i], b["hi"][i]
+            gap = F.greatest(lo - p, F.lit(0.0), p - hi) if near else F.greatest(F.abs(p - lo), F.abs(p - hi))
+            total = total + gap * gap
+        return total
+
+    for depth in range(STEP, TREE_DEPTH + 1, STEP):
+        level = families.filter(F.col("_depth") == depth).select("_node", "_boxes")
+        asked = found.select("lat", "lon", "_p", "_reach", "_leaves", F.explode_outer("_open").alias("_node"))
+        met = asked.join(level, "_node", "left")
+        measured = F.transform("_boxes", lambda b: F.struct(b["node"].alias("node"), b["leaf"].alias("leaf"), bound(b, True).alias("near"), bound(b, False).alias("far")))
+        met = met.withColumn("_seen", F.coalesce(measured, F.array().cast("array<struct<node:struct<_depth:int,_x:bigint,_y:bigint>,leaf:boolean,near:double,far:double>>")))
+        met = met.withColumn("_reach", F.least("_reach", F.array_min(F.transform("_seen", lambda b: b["far"]))))
+        met = met.withColumn("_seen", F.filter("_seen", lambda b: b["near"] <= F.col("_reach") + 1e-15))
+        met = met.groupBy("lat", "lon").agg(F.first("_p").alias("_p"), F.min("_reach").alias("_reach"), F.first("_leaves").alias("_leaves"), F.flatten(F.collect_list("_seen")).alias("_seen"))
+        near = F.filter("_seen", lambda b: b["near"] <= F.col("_reach") + 1e-15)
+        leaves = F.transform(F.filter(near, lambda b: b["leaf"]), lambda b: F.struct(b["node"].alias("node"), b["near"].alias("near")))
+        found = met.select("lat", "lon", "_p", "_reach", F.filter(F.concat("_leaves", leaves), lambda b: b["near"] <= F.col("_reach") + 1e-15).alias("_leaves"),
+                           F.transform(F.filter(near, lambda b: ~b["leaf"]), lambda b: b["node"]).alias("_open"))
+
+    members = centres.withColumns(_cells()).select(F.explode(F.transform(F.array(*[F.lit(d) for d in range(0, TREE_DEPTH + 1, STEP)]), _node_at)).alias("leaf"), "lat", "lon", "centre")
+    used = tree.filter(is_leaf & (F.col("_depth") > 0)).select(F.struct("_depth", "_x", "_y").alias("leaf"))
+    members = members.join(used, "leaf", "left_semi").groupBy("leaf").agg(F.collect_list(F.struct("lat", "lon", "centre")).alias("members"))
+    visits = found.select("lat", "lon", F.explode(F.array_distinct(F.transform("_leaves", lambda b: b["node"]))).alias("leaf"))
+    best = visits.join(members, "leaf").select("lat", "lon", _closest(F.col("members"), F.col("lat"), F.col("lon")).alias("_hit")).groupBy("lat", "lon").agg(F.min("_hit").alias("_hit"))
+    best = best.select("lat", "lon", F.col("_hit.name").alias("centre"), F.col("_hit.d").alias("distance_m"))
+    return points.join(best, ["lat", "lon"], "left").select(*points.columns, "centre", "distance_m")
+
+
+def _cells() -> dict[str, Column]:
+    """Place of a centre on the finest grid."""
+    size = 1 << TREE_DEPTH
+    cell = lambda share: F.least(F.floor(share * size), F.lit(size - 1)).cast("long")
+    return {"_cx": cell((F.col("lon") + 180) / 360), "_cy": cell((F.col("lat") + 90) / 180)}
+
+
+def _node_at(depth: Column) -> Column:
+    shift = F.pow(F.lit(2), TREE_DEPTH - depth)
+    return F.struct(depth.cast("int").alias("_depth"), F.floor(F.col("_cx") / shift).cast("long").alias("_x"), F.floor(F.col("_cy") / shift).cast("long").alias("_y"))
+
+
+def _levels(centres: DataFrame) -> DataFrame:
+    """Nodes of every ``STEP``-th level: depth, cell, number of centres, bounding box of their unit vectors."""
+    nodes = centres.withColumns(_cells()).withColumn("_at", F.explode(F.transform(F.array(*[F.lit(d) for d in range(0, TREE_DEPTH + 1, STEP)]), _node_at)))
+    v = _unit_vector(F.col("lat"), F.col("lon"))
+    return nodes.groupBy("_at").agg(F.count(F.lit(1)).alias("_n"), F.array(*[F.min(c) for c in v]).alias("lo"), F.array(*[F.max(c) for c in v]).alias("hi")).select("_at.*", "_n", "lo", "hi")

@@ -230,3 +230,28 @@ def test_kruskal_p_of_every_feature(spark, sf_dir):
     for feature, (groups, value) in p.items():
         assert groups == h[feature][0]
         assert abs(value - tail(h[feature][1], groups - 1)) < 2e-5
+
+
+@pytest.mark.parametrize("count, leaf", [(0, 8), (1, 8), (50, 4), (30_000, 64)])
+def test_nearest_of_many_equals_brute_force(spark, count, leaf):
+    """Crowded and scattered centres, both sides of the date line and the poles, copies, NULL places."""
+    pick = np.random.default_rng(6)
+    lat = np.r_[50 + pick.normal(size=count - count // 4) * 0.05, pick.uniform(-90, 90, count // 4)]
+    lon = np.r_[20 + pick.normal(size=count - count // 4) * 0.05, pick.uniform(-180, 180, count // 4)]
+    centres = [(f"c{i:06d}", float(a), float(b)) for i, (a, b) in enumerate(zip(lat, lon))]
+    centres += [("copy", *centres[0][1:]), ("none", None, 1.0)] if count else []
+    points = [(i, float(a), float(b)) for i, (a, b) in enumerate(zip(pick.uniform(-90, 90, 60), pick.uniform(-180, 180, 60)))]
+    points += [(100 + i, 50 + float(x), 20 - float(x)) for i, x in enumerate(pick.normal(size=60) * 0.05)] + [(200, 0.0, 180.0), (201, 0.0, -180.0), (202, 90.0, 5.0), (203, None, 1.0), (0, *points[0][1:])]
+    pdf = spark.createDataFrame(points, "id int, lat double, lon double")
+    cdf = spark.createDataFrame(centres, "centre string, lat double, lon double")
+    got = nearest.nearest_of_many(pdf, cdf, leaf).collect()
+    assert sorted(r.id for r in got) == sorted(p[0] for p in points)
+    names, place = [c[0] for c in centres if c[1] is not None], np.radians([c[1:] for c in centres if c[1] is not None]).reshape(-1, 2)
+    for r in got:
+        if r.lat is None or not count:
+            assert r.centre is None
+            continue
+        a, b = np.radians(r.lat), np.radians(r.lon)
+        h = np.sin((place[:, 0] - a) / 2) ** 2 + np.cos(a) * np.cos(place[:, 0]) * np.sin((place[:, 1] - b) / 2) ** 2
+        best = h.min()
+        assert abs(2 * 6371008.8 * np.arcsin(np.sqrt(best)) - r.distance_m) < 1e-3 and h[names.index(r.centre)] <= best + 1e-15
