@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctualis.llm import textkit as tk
-from punctualis.llm.shared import fresh, table
+from punctualis.llm.shared import fresh, stored, table
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 REPEAT_WINDOW = 8
@@ -129,8 +129,11 @@ def host_verdicts(measured: DataFrame, host: Column, rules: dict[str, tuple[Colu
 
 
 def judge(docs: DataFrame, text: str = "text", host: str = "source", rules: dict[str, tuple[Column, float]] | None = None) -> DataFrame:
-    """Measures, ``base_failed`` and ``kept`` of every document; hosts of any size are joined by a splittable merge join."""
-    measured = measure(docs.drop("base_failed", "kept", "host_ok"), text)
+    """Measures, ``base_failed`` and ``kept`` of every document; hosts of any size are joined by a splittable merge join.
+
+    The measures are stored, so every text is read once.
+    """
+    measured = stored(measure(docs.drop("base_failed", "kept", "host_ok"), text), "measures")
     name = fresh(measured, "host")
     hosts = host_verdicts(measured, F.col(host), rules).select(F.col("host").alias(name), "host_ok")
     joined = measured.join(hosts, F.col(host).eqNullSafe(F.col(name)), "left").drop(name)
