@@ -8,11 +8,11 @@ Reading. Spark's text reader splits each file into byte ranges and each task sca
 (as the line separator, on raw bytes), so a candidate belongs to the range its magic lies in. A candidate is
 accepted when its gzip header is valid and its first decoded bytes are a WARC version line. The magic can also
 occur inside a member: such a piece is appended to the member before it. Only where a member and such a piece lie
-in two ranges, both are handed on as loose pieces and joined per file. File names must not end in ``.gz``, or Hadoop
-decodes them as one stream.
+in two ranges, both are handed on as loose pieces and joined per file.
 
 Defined results: a NULL payload is empty; repeated rows are records of their own; a NULL id gives a record without
-id; an empty table gives archives without records; further columns of the pages are not stored.
+id; an empty table gives archives without records; further columns of the pages are not stored. For damaged members and names
+that end in ``.gz`` see ``read_archives``.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from punctualis.llm.shared import new_folder, stored, table
 
+DAMAGED = "damaged"
 MAGIC = b"\x1f\x8b\x08"
 EMPTY_MEMBER = bytes.fromhex("1f8b08000000000000ff03000000000000000000")
 BLOB_BYTES = 1 << 20
@@ -85,55 +86,82 @@ def write_archives(pages: DataFrame, path: str) -> None:
     blobs.write.option("encoding", "ISO-8859-1").option("lineSep", EMPTY_MEMBER.decode("latin-1")).text(path)
 
 
-def _candidate(data: bytes) -> tuple[str, bytes]:
-    """State of bytes that begin with the magic: ``whole`` with the decoded record, ``open`` or ``no``."""
-    if len(data) < 10:
-        return ("open" if len(data) < 4 or not data[3] & 0xE0 else "no"), b""
-    if data[3] & 0xE0:  # reserved flags
-        return "no", b""
-    decoder = zlib.decompressobj(31)
-    try:
-        record = decoder.decompress(data)
-    except zlib.error:
-        return "no", b""
-    if not record.startswith(b"WARC/1."[: len(record)]):
-        return "no", b""
-    return ("whole", record) if decoder.eof else ("open", b"")
+class Member:
+    """A gzip member that may be cut into pieces at false magic numbers; each piece is decoded once."""
+
+    def __init__(self):
+        self.decoder, self.pieces, self.parts = zlib.decompressobj(31), [], []
+
+    def feed(self, data: bytes) -> str:
+        """``whole`` with the last piece, ``open`` before it, ``no`` where the bytes don't go on with the member (it stays as it was)."""
+        decoder = self.decoder.copy()
+        try:
+            more = decoder.decompress(data)
+        except zlib.error:
+            return "no"
+        head = b"".join(self.parts[:8])[:7] + more[:7]
+        if not head[:7] == b"WARC/1."[: len(head)]:
+            return "no"
+        self.decoder = decoder
+        self.pieces.append(data)
+        if more:
+            self.parts.append(more)
+        return "whole" if decoder.eof else "open"
+
+    @property
+    def raw(self) -> bytes:
+        return b"".join(self.pieces)
+
+    @property
+    def record(self) -> bytes:
+        return b"".join(self.parts)
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, str, int, bytes]]:
     """``record`` with decoded bytes, or ``loose`` with raw bytes, in file order; a range is one (path, start)."""
-    place, waiting, first = None, b"", False
+    place, member, first = None, None, False
     for batch in batches:
         paths, starts, values = batch.column("path"), batch.column("start"), batch.column("value")
         for i in range(batch.num_rows):
             here = (paths[i].as_py(), starts[i].as_py())
             if here != place:
-                if waiting:
-                    yield "loose", *place, waiting
-                place, waiting, first = here, b"", here[1] == 0
+                if member:
+                    yield "loose", *place, member.raw
+                place, member, first = here, None, here[1] == 0
             value = values[i].as_py()
             if first:  # what stands before the first magic of the file
                 first = False
                 continue
-            data = waiting + MAGIC + value
-            state, record = _candidate(data)
-            if state == "whole":
-                if record:
-                    yield "record", *place, record
-                waiting = b""
-            elif waiting or state == "open":
-                waiting = data
-            else:
+            data = MAGIC + value
+            state = member.feed(data) if member else "no"
+            if state == "no":
+                if member:  # cut off or damaged: what follows may be a member of its own
+                    yield "loose", *place, member.raw
+                member = Member()
+                state = member.feed(data)
+            if state == "whole" and member.parts:  # else a separator
+                yield "record", *place, member.record
+            if state == "no":
                 yield "loose", *place, data
-    if waiting:
-        yield "loose", *place, waiting
+            if state != "open":
+                member = None
+    if member:
+        yield "loose", *place, member.raw
+
 
+def _damaged(data: bytes, why: str, strict: bool) -> dict:
+    if strict:
+        raise ValueError(f"damaged archive: {why}")
+    return dict.fromkeys(_ARROW.names) | {"record_type": DAMAGED, "payload": data}
 
-def _parse(record: bytes) -> dict:
+
+def _parse(record: bytes, strict: bool) -> dict:
     head, _, rest = record.partition(b"\r\n\r\n")
     fields = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in head.decode("utf-8", "replace").split("\r\n")[1:])}
-    block = rest[: int(fields["content-length"])]
+    length = fields.get("content-length", "")
+    if not length.isdigit() or int(length) > len(rest):
+        return _damaged(record, "a record without its content", strict)
+    block = rest[: int(length)]
     kind = fields.get("warc-type")
     number = lambda text: int(text[10:-1]) if text and text.startswith("<urn:page:") else None
     http = fields.get("content-type", "").startswith("application/http")
@@ -143,7 +171,7 @@ def _parse(record: bytes) -> dict:
         "record_type": kind,
         "refers_to": number(fields.get("warc-refers-to")),
         "payload_digest": fields.get("warc-payload-digest", "").removeprefix("sha256:") or None,
-        "payload_bytes": int(fields["payload-length"]) if "payload-length" in fields else None,
+        "payload_bytes": int(fields["payload-length"]) if fields.get("payload-length", "").isdigit() else None,
         "payload": None if kind == "revisit" else block.partition(b"\r\n\r\n")[2] if http else block,
     }
 
@@ -151,10 +179,10 @@ def _parse(record: bytes) -> dict:
 _ARROW = pa.schema([("page_id", pa.int64()), ("target_uri", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("payload", pa.binary())])
 
 
-def _rows(records: Iterator[bytes]) -> Iterator[pa.RecordBatch]:
+def _rows(records: Iterator[bytes], strict: bool) -> Iterator[pa.RecordBatch]:
     rows, size = [], 0
     for record in records:
-        rows.append(_parse(record))
+        rows.append(_parse(record, strict))
         size += len(record)
         if size >= 4 * BLOB_BYTES:
             yield pa.RecordBatch.from_pylist(rows, _ARROW)
@@ -163,8 +191,8 @@ def _rows(records: Iterator[bytes]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(rows, _ARROW)
 
 
-def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    return _rows(data for kind, _, _, data in _pieces(batches) if kind == "record")
+def _decode(batches: Iterator[pa.RecordBatch], strict: bool) -> Iterator[pa.RecordBatch]:
+    return _rows((data for kind, _, _, data in _pieces(batches) if kind == "record"), strict)
 
 
 def _loose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,29 +201,40 @@ def _loose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([start]), pa.array([n], pa.int64()), pa.array([data], pa.binary())], ["path", "start", "n", "value"])
 
 
-def _repair(pieces: pa.Table) -> pa.Table:
+def _repair(pieces: pa.Table, strict: bool) -> pa.Table:
     """Join the loose pieces of one file in order: an open member takes the pieces after it until it is whole."""
-    records, waiting = [], b""
+    rows, member = [], None
     for data in pieces.sort_by([("start", "ascending"), ("n", "ascending")]).column("value").to_pylist():
-        state, record = _candidate(waiting + data)
-        if state == "whole":
-            records.append(record)
-            waiting = b""
-        elif state == "open":
-            waiting += data
-        else:
-            raise ValueError("damaged archive: bytes that belong to no member")
-    if waiting:
-        raise ValueError("damaged archive: the last member is cut off")
-    return pa.Table.from_pylist([_parse(r) for r in records], _ARROW)
-
-
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """The records of all archives below a path (RECORD_SCHEMA); the payload of a revisit is NULL."""
+        state = member.feed(data) if member else "no"
+        if state == "no":
+            if member:
+                rows.append(_damaged(member.raw, "a member is cut off", strict))
+            member = Member()
+            state = member.feed(data)
+        if state == "whole" and member.parts:
+            rows.append(_parse(member.record, strict))
+        if state == "no":
+            rows.append(_damaged(data, "bytes that belong to no member", strict))
+        if state != "open":
+            member = None
+    if member:
+        rows.append(_damaged(member.raw, "the last member is cut off", strict))
+    return pa.Table.from_pylist(rows, _ARROW)
+
+
+def read_archives(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
+    """The records of all archives below a path (RECORD_SCHEMA); the payload of a revisit is NULL.
+
+    A member that is cut off, undecodable, or a record without its whole content is an error; unless ``strict``, it is a row
+    of its own with the record type ``damaged`` and its bytes as payload, and all other records are read. Names that end
+    in ``.gz`` are an error at once: the text reader would unpack them as one stream and find no member.
+    """
     text = spark.read.option("encoding", "ISO-8859-1").option("lineSep", MAGIC.decode("latin-1")).text(path)
+    if any(name.lower().endswith(".gz") for name in text.inputFiles()):
+        raise ValueError(f"archives below {path} are named .gz; they are read by byte ranges only under another name")
     ranges = text.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.col("value").cast("binary").alias("value"))
-    repaired = ranges.mapInArrow(_loose, "path string, start bigint, n bigint, value binary").groupBy("path").applyInArrow(_repair, RECORD_SCHEMA)
-    return ranges.mapInArrow(_decode, RECORD_SCHEMA).unionByName(repaired)
+    repaired = ranges.mapInArrow(_loose, "path string, start bigint, n bigint, value binary").groupBy("path").applyInArrow(lambda p: _repair(p, strict), RECORD_SCHEMA)
+    return ranges.mapInArrow(lambda batches: _decode(batches, strict), RECORD_SCHEMA).unionByName(repaired)
 
 
 def op1_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

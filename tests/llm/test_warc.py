@@ -1,6 +1,8 @@
 import gzip
 import hashlib
 
+import pytest
+
 from punctualis.llm import warc
 from punctualis.llm.shared import new_folder
 
@@ -68,3 +70,42 @@ def test_magic_inside_a_member_at_a_range_border(spark, tmp_path):
             assert got == sorted(b"first %d" % i for i in range(40))
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+@pytest.mark.parametrize("size", ["60b", "300b", "64m"])
+def test_damaged_members(spark, tmp_path, size):
+    """Cut off, overwritten, without a length, with too little content, foreign bytes: marked, or an error; the others are read."""
+    good = [_member(b"good %d " % i + bytes(range(256)) * (i % 3)) for i in range(12)]
+    short = gzip.compress(b"WARC/1.0\r\nContent-Length: 90\r\n\r\nfew", mtime=0)
+    unsized = gzip.compress(b"WARC/1.0\r\nWARC-Type: resource\r\n\r\nno length", mtime=0)
+    broken = good[5][:30] + b"\x00" * 40 + good[5][70:]
+    other = gzip.compress(b"no archive at all", mtime=0)
+    data = [good[0], short, good[1], unsized, good[2], broken, good[3], other, good[4], good[6], good[7][:25]]
+    (tmp_path / "w").mkdir()
+    (tmp_path / "w" / "a.warc").write_bytes(b"".join(data))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        rows = warc.read_archives(spark, f"file://{tmp_path}/w", strict=False).collect()
+        kept = {r.payload for r in rows if r.record_type == "resource"}
+        assert {k[:6] for k in kept} == {b"good %d" % i for i in (0, 1, 2, 3, 4, 6)}
+        assert sum(r.record_type == warc.DAMAGED for r in rows) >= 5 and len(kept) + sum(r.record_type == warc.DAMAGED for r in rows) == len(rows)
+        with pytest.raises(Exception, match="damaged archive"):
+            warc.read_archives(spark, f"file://{tmp_path}/w").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_gzip_names_are_refused(spark, tmp_path):
+    (tmp_path / "a.warc.gz").write_bytes(_member(b"x"))
+    with pytest.raises(ValueError, match="gz"):
+        warc.read_archives(spark, f"file://{tmp_path}")
+
+
+def test_every_piece_is_decoded_once():
+    """A member full of false magic numbers, stored without compression."""
+    text = (warc.MAGIC + b"x" * 50) * 4000
+    data = gzip.compress(b"WARC/1.0\r\nContent-Length: %d\r\n\r\n" % len(text) + text, 0, mtime=0)
+    pieces, member = [warc.MAGIC + p for p in data.split(warc.MAGIC)[1:]], warc.Member()
+    states = [member.feed(p) for p in pieces]
+    assert len(pieces) > 3000 and states == ["open"] * (len(pieces) - 1) + ["whole"] and member.record.endswith(text) and member.raw == data
