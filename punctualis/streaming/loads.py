@@ -63,8 +63,8 @@ def stream_traffic(
 def stream_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str], event_time: str | None = None, lateness: str = "1 day", span: str = "1 day") -> DataFrame:
     """Newest row per key as running state (update mode), equal to the batch result over the log.
 
-    With an ``event_time`` the keys hold within a ``span`` of it (a key of another day is another key), and state ends once no row of the
-    span can come any more: rows up to ``lateness`` behind the newest event still win or lose by ``order``, later
+    With an ``event_time`` there is a newest row per key and ``span`` of it (``span_start`` tells which), and state ends once no row
+    of the span can come any more: rows up to ``lateness`` behind the newest event still win or lose by ``order``, later
     ones are left out and counted by the query. State is then bounded by the keys of ``lateness`` and one span.
     """
     payload = [c for c in df.columns if c not in keys]
@@ -72,7 +72,7 @@ def stream_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str], even
     if event_time is None:
         return df.groupBy(*keys).agg(newest.alias("_row")).select(*keys, "_row.*")
     timed = df.withColumn("_event", F.col(event_time).cast("timestamp")).withWatermark("_event", lateness)
-    return timed.groupBy(*keys, F.window("_event", span)).agg(newest.alias("_row")).select(*keys, "_row.*")
+    return timed.groupBy(*keys, F.window("_event", span)).agg(newest.alias("_row")).select(*keys, "_row.*", F.col("window.start").cast("timestamp_ntz").alias("span_start"))
 
 
 def stream_to_table(df: DataFrame, path: str, checkpoint: str, name: str, part: str | None = None, ts: str | None = None, trigger: dict | None = None) -> StreamingQuery:
@@ -101,11 +101,11 @@ def stream_latest_table(
 def stream_latest_state(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], event_time: str, path: str, checkpoint: str, lateness: str = "1 day", span: str = "1 day", name: str = "state", trigger: dict | None = None
 ) -> StreamingQuery:
-    """The table of ``stream_latest`` with bounded state: only keys whose newest row changed reach the table."""
-    names = df.columns
+    """The table of ``stream_latest`` per key and span, with bounded state: only keys whose newest row changed reach the table."""
+    names, whole = [*df.columns, "span_start"], [*keys, "span_start"]
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        committed.merge_latest(batch.select(names), path, keys, order, batch=(name, batch_id))
+        committed.merge_latest(batch.select(names), path, whole, order, batch=(name, batch_id))
 
     return _each(stream_latest(df, keys, order, event_time, lateness, span), merge, checkpoint, trigger, "update")
 
