@@ -1,4 +1,6 @@
 import numpy as np
+import regex
+from pyspark.sql import functions as F
 
 from punctualis.llm import decontaminate as dc
 from tests.llm.fixtures import awkward, empty, prose, words_of
@@ -7,7 +9,8 @@ ITEMS = "item_id bigint, text string, extra string"
 
 
 def _plain(text):
-    return words_of("".join(c.lower() if c.isalnum() or not c.isascii() else " " for c in text or ""))
+    spaced = regex.sub(r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}])", r" \1 ", regex.sub("[。、，！？「」]", " ", text or ""))
+    return words_of("".join(c.lower() if c.isalnum() or not c.isascii() else " " for c in spaced))
 
 
 def _tiling(item, doc, seed):
@@ -44,8 +47,8 @@ def test_against_the_definition(spark):
     for doc_id, text in docs:
         for item_id, other, _ in items:
             a, b = _plain(other), _plain(text)
-            if len(a) >= 5 and len(b) < 5000:
-                covered = _tiling(a, b, 5)
+            if a and len(b) < 5000:
+                covered = _tiling(a, b, min(5, len(a)))
                 if covered >= 0.5 * len(a):
                     expected.append((doc_id, item_id, covered))
     expected += [(7, 1, 20), (7, 1, 20), (7, None, 20)]
@@ -57,6 +60,30 @@ def test_against_the_definition(spark):
         assert {r.doc_id for r in clean.collect()} == {1, 4, 5, 6} - ({1} if any(e[0] == 1 for e in expected) else set())
 
 
+def test_short_items_and_unspaced_scripts(spark):
+    han, thai, kana = "今天天气很好，我们去公园散步。明天也去！", "ประเทศไทยสวยงามมาก", "これはテストです。「とても」長い、文章"
+    texts = [
+        "Before " + han + " after", "明天也去，我们去公园散步。今天天气很好", "其他文字完全不同", thai + " word", kana.replace("。", " "), "Paris is the capital", "the capital, is: PARIS", "capital of Spain", None, "",
+        "“quoted” naïve café", "naïve café",
+    ]
+    items = [(1, han, ""), (2, thai, ""), (3, kana, ""), (4, "is the capital", ""), (5, "paris", ""), (6, "?!", ""), (7, "the capital is Paris", ""), (8, "naïve café", ""), (9, "", ""), (10, "去", "")]
+    expected = set()
+    for n, text in enumerate(texts):
+        for item_id, other, _ in items:
+            a = _plain(other)
+            covered = _tiling(a, _plain(text), min(5, len(a))) if a else 0
+            if a and covered >= 0.5 * len(a):
+                expected.add((n, item_id, len(a), covered))
+    assert {(0, 1), (1, 1), (3, 2), (4, 3), (5, 4), (5, 5), (6, 5), (6, 7), (11, 8), (1, 10)} <= {e[:2] for e in expected}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").withColumn("digest", F.lit("x"))
+    bench = spark.createDataFrame(items, ITEMS)
+    for size in (8 << 20, 60):
+        assert {(r.doc_id, r.item_id, r.item_words, r.covered_words) for r in dc.contaminated_pairs(df, bench, block_bytes=size).collect()} == expected
+        clean = dc.decontaminate(df, bench, block_bytes=size)
+        assert clean.columns == df.columns
+        assert {r.doc_id for r in clean.collect()} == set(range(len(texts))) - {e[0] for e in expected}
+
+
 def test_random_tilings():
     for seed in range(30):
         pick = np.random.default_rng(seed)
