@@ -257,15 +257,18 @@ add(
 )
 
 
-def _report(feed: Feed, fix_next: bool):
+def stop_days(feed: Feed):
     """Stop versions of the served days, since the report wants the stop of the load day."""
     day = F.explode(F.array(*[F.lit(d).cast("timestamp_ntz") for d in ("2024-01-05", "2024-01-06")]))
-    stops = feed.stops().filter(F.col("mode") == "A").drop("load_timestamp").distinct().select("*", day.alias("load_timestamp"))
-    out = rp.segment_report(feed.delay_mart(), stops, "2024-01-05", "2024-01-06", fix_next)
+    return feed.stops().filter(F.col("mode") == "A").drop("load_timestamp").distinct().select("*", day.alias("load_timestamp"))
+
+
+def _report(feed: Feed, fix_next: bool):
+    out = rp.segment_report(feed.delay_mart(), stop_days(feed), "2024-01-05", "2024-01-06", fix_next)
     return out.withColumn("avg_delay", F.round("avg_delay", 6))
 
 
-def _report_sql(other: str) -> str:
+def report_sql(other: str) -> str:
     return f"""SELECT cnt, round(avg_delay, 6) AS avg_delay, a.stop_id, b.stop_lat, b.stop_lon, a.next_stop_id,
                c.stop_lat AS next_stop_lat, c.stop_lon AS next_stop_lon, delay_hour, delay_date
         FROM pair_averages a
@@ -274,5 +277,5 @@ def _report_sql(other: str) -> str:
         WHERE delay_date IN (DATE '2024-01-05', DATE '2024-01-06') ORDER BY a.stop_id DESC, delay_hour"""
 
 
-add("m7_segment_report", lambda f: _report(f, True), _report_sql("a.next_stop_id"))
-add("j12_segment_report_same_stop", lambda f: _report(f, False), _report_sql("a.stop_id"))
+add("m7_segment_report", lambda f: _report(f, True), report_sql("a.next_stop_id"))
+add("j12_segment_report_same_stop", lambda f: _report(f, False), report_sql("a.stop_id"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from catalogue.adapter import Feed
 from catalogue.loads import _CUST, _SCD2, customers
+from catalogue.marts import report_sql, stop_days
 from catalogue.stored import _KEPT, folder
 from catalogue.tables_sql import sql
 from punctualis.functions.geo import wkt_point
@@ -15,6 +16,7 @@ from punctualis.operators.nearest import nearest_of_many
 from punctualis.operators.prefix import sessionize_resets
 from punctualis.operators.stats import polygon_centroid
 from punctualis.plans import report as rp
+from punctualis.plans import sessions as ss
 from punctualis.plans.delays import build_delays
 from punctualis.plans.incremental import mean_delay
 from punctualis.plans.schedule import build_trips_schedule
@@ -253,3 +255,24 @@ def _marts(f: Feed) -> str:
 add("m3_incremental_mart", lambda f: ct.read(f.spark, f"{_marts(f)}/mart"), "SELECT * FROM delay_mart")
 add("a7_incremental_sums", lambda f: mean_delay(ct.read(f.spark, f"{_marts(f)}/sums"), "mode").withColumn("mean", F.round("mean", 6)),
     "SELECT mode, count(*) AS cnt, round(avg(delay), 6) AS mean FROM delay_mart GROUP BY 1")
+
+
+def _session_log(f: Feed) -> str:
+    """The delays in three batches, of which each brings rows of all days; the second one comes twice."""
+    root, kept = folder(f, "sessions"), folder(f, "delays")
+    f.delay_mart().write.parquet(kept)
+    rows = f.spark.read.parquet(kept)
+    third = F.pmod(F.xxhash64("trip_id", "stop_sequence", "load_timestamp"), F.lit(3))
+    for number, part in ((0, 0), (1, 1), (1, 1), (2, 2)):
+        ss.add_rows(rows.where(third == part), root, ("delays", number))
+    return root
+
+
+add("m7_report_from_summaries",
+    lambda f: ss.stored_report(f.spark, _session_log(f), stop_days(f), "2024-01-05", "2024-01-06").withColumn("avg_delay", F.round("avg_delay", 6)),
+    report_sql("a.next_stop_id"))
+add("w9_sessions_of_days",
+    lambda f: ss.sessions_between(f.spark, _session_log(f), "2024-01-06", "2024-01-08").select("trip_id", "mode", "load_timestamp", "stop_sequence", "stop_id", "event_date", "session_id"),
+    """SELECT trip_id, mode, load_timestamp, stop_sequence, stop_id, event_date, session_id FROM sessions
+       SEMI JOIN (SELECT DISTINCT trip_id AS t, mode AS m, session_id AS s FROM sessions WHERE load_timestamp::DATE BETWEEN DATE '2024-01-06' AND DATE '2024-01-08') w
+       ON trip_id IS NOT DISTINCT FROM t AND mode IS NOT DISTINCT FROM m AND session_id = s""")

@@ -49,10 +49,16 @@ def with_places(averages: DataFrame, stops: DataFrame, fix_next: bool = True) ->
     )
 
 
-def segment_report(delays: DataFrame, stops: DataFrame, first_day: str, last_day: str, fix_next: bool = True) -> DataFrame:
-    """The report for load dates between two days (both included), by stop descending and hour."""
-    cols = ["trip_id", "stop_sequence", "stop_id", "mode", "delay", "load_timestamp"]
-    pairs = stop_pairs(latest_in_session(sessionize_resets(delays.select(*cols))))
+REPORT_COLUMNS = ("trip_id", "stop_sequence", "stop_id", "mode", "delay", "load_timestamp")
+
+
+def report_of_sessions(sessions: DataFrame, stops: DataFrame, first_day: str, last_day: str, fix_next: bool = True) -> DataFrame:
+    pairs = stop_pairs(latest_in_session(sessions))
     wanted = F.col("delay_date").between(F.lit(first_day).cast("date"), F.lit(last_day).cast("date"))
     averages = pair_averages(pairs).filter(wanted)
     return with_places(averages, stops, fix_next).orderBy(F.col("stop_id").desc(), "delay_hour")
+
+
+def segment_report(delays: DataFrame, stops: DataFrame, first_day: str, last_day: str, fix_next: bool = True) -> DataFrame:
+    """The report for load dates between two days (both included), by stop descending and hour."""
+    return report_of_sessions(sessionize_resets(delays.select(*REPORT_COLUMNS)), stops, first_day, last_day, fix_next)
