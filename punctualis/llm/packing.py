@@ -2,7 +2,8 @@
 
 Texts are counted in tokens (an estimate: runs of ASCII letters and digits, single other non-blank characters, and
 one end mark per text). Texts longer than the longest sequence are cut into pieces that cover them whole. Pieces are
-dealt by hash to groups of about ``GROUP`` pieces, as many groups as the data need, and each group is packed by itself:
+dealt to groups of about ``GROUP`` pieces by a hash of their row and of its number in the stored table, so equal rows spread
+like others; there are as many groups as the data need, and each is packed by itself:
 longest piece first, into the open bin with the least room that still fits. Where none fits, the bin size is
 opened that costs least per token it can expect to hold (its own piece and what is left of the group). This is
 tried with every run of permitted lengths, the plan of least total cost is taken, and each bin is at last cut down to
@@ -85,9 +86,9 @@ def pack(docs: DataFrame, lengths: Sequence[int] = LENGTHS, overhead: int = OVER
     pieces = counts.withColumn("piece", starts).select(
         "doc_id", "piece", (F.col("piece") * top).alias("first_token"), F.least(F.lit(top), F.col("n") - F.col("piece") * top).alias("n_tokens"), "h"
     )
-    pieces = stored(pieces, "pieces")
+    pieces = stored(pieces.withColumn("row_no", F.monotonically_increasing_id()), "pieces")
     groups = max(1, -(-pieces.count() // group))
-    dealt = pieces.withColumn("pack_group", F.pmod(F.xxhash64("doc_id", "piece", "h"), F.lit(groups))).drop("h")
+    dealt = pieces.withColumn("pack_group", F.pmod(F.xxhash64("doc_id", "piece", "h", "row_no"), F.lit(groups))).drop("h", "row_no")
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         packed = pack_group(rows, lengths, overhead)

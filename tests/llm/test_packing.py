@@ -60,3 +60,48 @@ def test_never_worse_than_any_single_largest_length():
         for top in lengths:
             alone = packing.pack_group(pd.DataFrame({"doc_id": range(60), "piece": 0, "n_tokens": sizes}), (top,), overhead)
             assert cost <= alone.drop_duplicates("bin")["bin_length"].add(overhead).sum()
+
+
+def _plain_cost(sizes, lengths, overhead):
+    """Least cost of best-fit decreasing over all runs of lengths, every open bin looked at for every piece."""
+    costs = []
+    for i in range(len(lengths)):
+        for j in range(i + 1, len(lengths) + 1):
+            allowed = lengths[i:j]
+            if allowed[-1] < max(sizes):
+                continue
+            bins, left = [], sum(sizes)
+            for size in sorted(sizes, reverse=True):
+                open_bins = [b for b in bins if b[0] - b[1] >= size]
+                if open_bins:
+                    min(open_bins, key=lambda b: b[0] - b[1])[1] += size
+                else:
+                    bins.append([min((x for x in allowed if x >= size), key=lambda x: ((x + overhead) / min(x, left), x)), size])
+                left -= size
+            costs.append(sum(min(x for x in lengths if x >= used) + overhead for _, used in bins))
+    return min(costs)
+
+
+@pytest.mark.parametrize("group", [40, 20_000])
+def test_against_plain_best_fit(spark, group):
+    import random
+
+    pick, lengths, overhead = random.Random(group), (16, 32, 64), 4
+    rows = [(n % 90, " ".join(["w"] * pick.choice([0, 3, 9, 20, 33, 70, 200]))) for n in range(150)]
+    df = spark.createDataFrame(rows + [(None, None)], "doc_id bigint, text string")
+    out = packing.pack(df, lengths, overhead, group).collect()
+    sizes = [n for _, t in rows for n in [len(t.split()) + 1]] + [1]
+    assert sorted(r.n_tokens for r in out) == sorted(min(64, n - at) for n in sizes for at in range(0, n, 64))
+    groups = {}
+    for r in out:
+        groups.setdefault(r.bin_id >> 32, []).append(r)
+    assert len(groups) == 1 if group > 1000 else len(groups) > 3
+    for packed in groups.values():
+        cost = sum(length + overhead for length in {r.bin_id: r.bin_length for r in packed}.values())
+        assert cost == _plain_cost([r.n_tokens for r in packed], lengths, overhead)
+
+
+def test_equal_rows_are_spread(spark):
+    df = spark.range(3000).selectExpr("1L AS doc_id", "'one two' AS text")
+    sizes = [r["count"] for r in packing.pack(df, (16, 32), 4, 100).selectExpr("bin_id >> 32 AS g").groupBy("g").count().collect()]
+    assert sum(sizes) == 3000 and len(sizes) > 20 and max(sizes) < 200
