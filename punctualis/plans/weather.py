@@ -9,7 +9,7 @@ from punctualis.operators.dedup import latest_per_key
 from punctualis.operators.nearest import nearest
 from punctualis.schemas import HOURLY_FIELDS
 
-SALTS = 16
+SALTS = 8
 
 
 def assign_districts(stops: DataFrame, districts: DataFrame, **search) -> DataFrame:
@@ -30,11 +30,16 @@ def assign_districts(stops: DataFrame, districts: DataFrame, **search) -> DataFr
 def stops_weather(stops: DataFrame, districts: DataFrame, weather: DataFrame) -> DataFrame:
     """Stop x hour with the weather of the stop's district.
 
-    There are few districts, so the key is salted: the hours are spread over ``SALTS`` parts, the stops, which do not
-    grow with time, are repeated for every part.
+    There are few districts, so the key is salted twice: stops and hours of a district are spread over ``SALTS`` parts each, and
+    every part of the one meets every part of the other. The result is far larger than both sides, so their sizes
+    do not tell how many tasks it needs: the join runs over all shuffle partitions.
     """
     parts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    assigned = assign_districts(stops, districts).drop("distance_m").withColumn("_salt", parts)
+    keys = ["district_name", "_stops", "_hours"]
+    assigned = assign_districts(stops, districts).drop("distance_m").withColumns({"_stops": F.pmod(F.xxhash64("stop_id"), F.lit(SALTS)), "_hours": parts})
     hours = weather.select("district_name", F.col("timestamp").alias("weather_timestamp"), *HOURLY_FIELDS)
-    hours = hours.withColumn("_salt", F.pmod(F.hash("weather_timestamp"), F.lit(SALTS)))
-    return assigned.join(hours, ["district_name", "_salt"], "inner").select("stop_id", "stop_name", "district_name", "weather_timestamp", *HOURLY_FIELDS)
+    hours = hours.withColumns({"_hours": F.pmod(F.hash("weather_timestamp"), F.lit(SALTS)), "_stops": parts})
+    tasks = int(stops.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return assigned.repartition(tasks, *keys).join(hours.repartition(tasks, *keys), keys, "inner").select(
+        "stop_id", "stop_name", "district_name", "weather_timestamp", *HOURLY_FIELDS
+    )
