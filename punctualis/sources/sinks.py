@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from punctualis.operators.dedup import dedup_exact, duplicate_report
+from punctualis.operators.joins import with_scalar
 from punctualis.operators.scd2 import latest_load, scd2_empty, scd2_merge, upsert
 from punctualis.schemas import STATIC_CONFIG
 
@@ -211,9 +212,13 @@ def load_missing_dates(src: DataFrame, tgt: DataFrame, ts: str = "load_timestamp
 
 
 def latest_not_loaded(staged: DataFrame, target: DataFrame | None, ts: str = "load_timestamp") -> DataFrame:
-    """Rows of the newest staged load, unless the target has that load already."""
+    """Rows of the newest staged load, unless the target has that load already; whether it has travels as one row, so no row is shuffled."""
     newest = latest_load(staged, ts)
-    return newest if target is None else newest.join(target.select(ts).distinct(), ts, "left_anti").select(*staged.columns)
+    if target is None:
+        return newest
+    moment = staged.agg(F.max(ts).alias("_newest"))
+    held = with_scalar(target.select(F.col(ts).alias("_held")), moment).filter("_held = _newest").agg(F.count(F.lit(1)).alias("_rows"))
+    return with_scalar(newest, held).filter("_rows = 0").select(*staged.columns)
 
 
 def append_latest(staged: DataFrame, path: str, ts: str = "load_timestamp") -> None:
