@@ -122,3 +122,62 @@ def test_hot_words_are_split_into_tasks(spark, monkeypatch):
     got = {r.doc_id: [(x.line, x.links, x.removed) for x in r.lines] for r in ld.judged_lines(df.drop("h"), least=1).collect()}
     assert got == {d: v for (d, _), v in expected.items()}
     assert any(x[1] for v in got.values() for x in v)
+
+
+def _frequent(n):
+    """Lines of a few frequent words, so that every prefix word is in many lines; some lines differ by one word."""
+    words = [f"w{k}" for k in range(24)]
+    rows = []
+    for k in range(n):
+        start = [words[(k * 7 + j * (1 + k % 5)) % 24] for j in range(4 + k % 9)]
+        rows.append((k, " ".join(start) + "\n" + " ".join([*start, f"w{k % 3}"])))
+    return rows
+
+
+def test_runs_of_frequent_words_lose_no_link(spark):
+    """With a limit of one line, every word goes on to runs; lines that are similar still share a run."""
+    rows = _frequent(80)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    levels = ld.rarity(ld.bucket_counts(ld.keyed(df), 1))
+    data, offsets = ld.tk.flat(ld.pa.array([text for _, text in rows]))
+    _, _, sets, hashes = ld.line_sets(data, offsets, 1, levels)
+    sizes = ld.np.diff(sets)
+    plain = {i: set(hashes[sets[i] : sets[i + 1]].tolist()) for i in range(len(sizes))}
+    limit, ld.GROUP = ld.GROUP, 1
+    try:
+        line, token, place, depth = ld.runs(hashes, sets, ld.prefix_length(sizes, 80), levels)
+    finally:
+        ld.GROUP = limit
+    assert depth.max() == ld.DEEPEST
+    found = {}
+    for i, t, most in zip(line.tolist(), token.tolist(), (sizes[line] - place - 1 + depth).tolist(), strict=True):
+        found.setdefault(i, {})[t] = most
+    links = 0
+    for i in plain:
+        for j in range(i):
+            share = len(plain[i] & plain[j])
+            if plain[i] != plain[j] and 100 * share >= 80 * len(plain[i] | plain[j]):
+                links += 1
+                assert any(min(found[i][t], found[j][t]) >= share for t in found[i].keys() & found[j].keys())
+    assert links
+    expected = _judged(rows, least=1)
+    got = {r.doc_id: [(x.line, x.links, x.removed) for x in r.lines] for r in ld.judged_lines(df, least=1).collect()}
+    assert got == {d: v for (d, _), v in expected.items()}
+
+
+def test_large_word_groups_meet_in_columns():
+    """A group of a thousand lines that share a word passes no loop over its lines, and links only what is near."""
+    n, calls = 1000, []
+    records = ld.np.zeros(n, ld._RECORD)
+    records["token"], records["node"], records["size"], records["most"] = 5, ld.np.arange(n), 20, 20
+    records["bits"] = ld.np.random.default_rng(3).integers(0, 1 << 63, (n, ld.MASK_WORDS), dtype=ld.np.uint64)
+    records["bits"][1::50] = records["bits"][0::50]
+    forest = ld._forest
+    ld._forest = lambda *x: calls.append(x) or forest(*x)
+    try:
+        blobs = ld.pa.table({"records": [ld.pack(records[:600]), ld.pack(records[600:])], "side": [0, 0]})
+        links = ld.shard_links(blobs, 80)
+    finally:
+        ld._forest = forest
+    assert not calls
+    assert {frozenset(x) for x in zip(*(c.to_pylist() for c in links.columns), strict=True)} == {frozenset((k, k + 1)) for k in range(0, n, 50)}
