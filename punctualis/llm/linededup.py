@@ -163,7 +163,7 @@ def scan(docs: DataFrame, least: int) -> DataFrame:
 
 def bucket_sums(scanned: DataFrame) -> np.ndarray:
     """Words of lines per hash bucket over all tasks; the driver receives at most BUCKETS sums."""
-    each = scanned.where(F.col("counts").isNotNull()).select(F.inline("counts"))
+    each = scanned.where(F.col("n_lines").isNull()).select(F.inline("counts"))
     sums = each.groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(BUCKETS, np.int64)
     counts[sums["bucket"].to_numpy()] = sums["n"].to_numpy()
@@ -481,7 +481,7 @@ def judged_lines(docs: DataFrame, percent: int = PERCENT, least: int = LEAST) ->
     docs = keyed(docs)
     tasks = stored(scan(docs, least), "lines")
     counts = bucket_sums(tasks)
-    scanned = tasks.where(F.col("counts").isNull()).drop("counts")
+    scanned = tasks.where(F.col("n_lines").isNotNull()).drop("counts")  # without reading the counts
     lines = scanned.select("doc_id", "h", F.explode("lines").alias("l")).select("doc_id", "h", "l.*")
     rep = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "line", "h")
     classes = stored(lines.groupBy("hi", "lo").agg(F.min(rep).alias("rep"), F.max("n").alias("n")), "classes")
