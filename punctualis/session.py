@@ -7,6 +7,7 @@ from pyspark.sql import SparkSession
 # Runtime SQL settings. AQE picks broadcast joins from measured sizes, coalesces small shuffle
 # partitions and splits skewed join partitions, also when that costs one more shuffle downstream.
 # Samples of thousands of rows per group are cut before the shuffle too.
+# Streaming state lies on disk with a fixed amount of memory for all partitions of an executor, not in the heap.
 # Joins may use a side that is already dealt by some of their keys, so rows dealt by trip stay where they are.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -16,6 +17,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
 }
 
 

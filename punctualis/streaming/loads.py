@@ -65,7 +65,8 @@ def stream_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str], even
 
     With an ``event_time`` there is a newest row per key and ``span`` of it (``span_start`` tells which), and state ends once no row
     of the span can come any more: rows up to ``lateness`` behind the newest event still win or lose by ``order``, later
-    ones are left out and counted by the query. State is then bounded by the keys of ``lateness`` and one span.
+    ones are left out and counted by the query. State is then bounded by the keys of ``lateness`` and one span. Where that is still many, it lies on disk
+    (RocksDB, see ``session.py``), not in the heap.
     """
     payload = [c for c in df.columns if c not in keys]
     newest = F.max_by(F.struct(*payload), F.struct(*order))

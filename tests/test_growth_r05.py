@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from punctualis.plans import delays, incremental, schedule
 from punctualis.sources import committed
+from punctualis.streaming import loads
 from tests.test_plans import updates
 from tests.test_served_days import feed
 
@@ -26,3 +27,14 @@ def test_an_update_takes_back_what_an_older_one_matched_across_midnight(spark, t
     assert {r.event_date for r in got.collect()} == {"20240105", "20240106"}
     sums = committed.read(spark, f"{root}/sums")
     assert sums.exceptAll(incremental.delay_sums(want).select(sums.columns)).isEmpty() and sums.count() == 2
+
+
+def test_streaming_state_lies_on_disk(spark, tmp_path):
+    src, path = str(tmp_path / "src"), str(tmp_path / "t")
+    spark.sql("select concat('k', id % 3) as k, timestamp_ntz'2024-01-01 08:00:00' as ev, cast(id as int) as poll from range(9)").write.parquet(src)
+    stream = spark.readStream.schema("k string, ev timestamp_ntz, poll int").parquet(src)
+    query = loads.stream_latest_state(stream, ["k"], ["poll"], "ev", path, str(tmp_path / "cp"))
+    query.awaitTermination()
+    states = [s for p in query.recentProgress for s in p["stateOperators"]]
+    assert states and all(any(name.startswith("rocksdb") for name in s["customMetrics"]) for s in states) and max(s["numRowsTotal"] for s in states) == 3
+    assert sorted((r.k, r.poll) for r in committed.read(spark, path).collect()) == [("k0", 6), ("k1", 7), ("k2", 8)]
