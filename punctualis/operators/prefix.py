@@ -63,6 +63,22 @@ def sessionize_resets(
     )
 
 
+def reset_summaries(df: DataFrame, keys: Sequence[str], ts: str, seq: str, chunk: str = "hour") -> DataFrame:
+    """keys, first, last, falls: first and last sequence of every key, and how often it fell, as by ``sessionize_resets``.
+
+    Rows are dealt and ordered once, in the same chunks; what follows works on a row per chunk.
+    """
+    packed = df.select(F.struct(*keys, F.date_trunc(chunk, F.col(ts)).alias("_at")).alias("_chunk"), ts, seq)
+    inside = Window.partitionBy("_chunk").orderBy(ts, seq)
+    rows = packed.withColumns({"_fell": F.when(F.col(seq) < F.lag(seq).over(inside), 1).otherwise(0), "_n": F.row_number().over(inside)})
+    summary = rows.groupBy("_chunk").agg(F.min_by(seq, "_n").alias("_first"), F.max_by(seq, "_n").alias("_last"), F.sum("_fell").alias("_falls"))
+    summary = summary.withColumn("_key", F.struct(*[F.col(f"_chunk.{k}") for k in keys]))
+    edge = F.when(F.col("_first") < F.lag("_last").over(Window.partitionBy("_key").orderBy("_chunk")), 1).otherwise(0)
+    of_key = summary.withColumn("_falls", F.col("_falls") + edge).groupBy("_key")
+    whole = of_key.agg(F.min_by("_first", "_chunk").alias("first"), F.max_by("_last", "_chunk").alias("last"), F.sum("_falls").alias("falls"))
+    return whole.select("_key.*", "first", "last", "falls")
+
+
 def cut_evenly(counted: DataFrame, value: str) -> DataFrame:
     """Cut every ``_chunk`` into parts that keep the order of its values, about ``CHUNK_VALUES`` rows each.
 

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from punctualis.operators.prefix import sessionize_resets
+from punctualis.operators.prefix import reset_summaries, sessionize_resets
 from punctualis.plans.report import REPORT_COLUMNS, report_of_sessions
 from punctualis.sources import committed as ct
 
@@ -25,18 +25,19 @@ TS, SEQ = "load_timestamp", "stop_sequence"
 
 def day_summaries(rows: DataFrame) -> DataFrame:
     """trip_id, mode, first, last, falls, d of every trip and day of rows that have their day in ``d``."""
-    order = F.struct(TS, SEQ)
-    inside = sessionize_resets(rows.select(*KEYS, "d", TS, SEQ), (*KEYS, "d"), TS, SEQ)
-    return inside.groupBy(*KEYS, "d").agg(F.min_by(SEQ, order).alias("first"), F.max_by(SEQ, order).alias("last"), F.max("session_id").alias("falls")).select(*KEYS, "first", "last", "falls", "d")
+    return reset_summaries(rows.select(*KEYS, "d", TS, SEQ), (*KEYS, "d"), TS, SEQ).select(*KEYS, "first", "last", "falls", "d")
 
 
 def add_rows(rows: DataFrame, root: str, batch: tuple[str, int] | None = None) -> None:
-    """Take rows into the log and renew the summaries of their days; a batch counts once, and one that was cut short can be repeated."""
+    """Take rows into the log and renew the summaries of their days; a batch counts once, and one that was cut short can be repeated.
+
+    The summaries know their batches too, so a batch that was finished is not computed again.
+    """
     spark = rows.sparkSession
     dated = rows.withColumn("d", F.to_date(TS))
     ct.append(dated, f"{root}/log", part="d", ts=TS, batch=batch)
     days = dated.select(F.col("d").cast("string").alias("part")).distinct()
-    ct.replace_parts(day_summaries(ct.read(spark, f"{root}/log", days)), f"{root}/sessions", part="d")
+    ct.replace_parts(day_summaries(ct.read(spark, f"{root}/log", days)), f"{root}/sessions", part="d", batch=batch)
 
 
 def carried(summaries: DataFrame) -> DataFrame:
